@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retailflow.functions.numeric import round2
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -71,7 +73,7 @@ class Tables:
         lines = self.table("lineitem")
         stamp = F.unix_millis(F.col("l_shipdate").cast("timestamp")).cast("string").alias("timestamp")
         item = (F.col("l_partkey") + 1).cast("string").alias("itemid")
-        unit_price = F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2)
+        unit_price = round2(F.col("l_extendedprice") / F.col("l_quantity"))
         price = lines.select(
             stamp, item, F.lit("790").alias("property"), F.concat(F.lit("n"), unit_price.cast("string")).alias("value")
         )
