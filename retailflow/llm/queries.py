@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from retailflow.llm import bpe
+from retailflow.llm import bpe, simhash
 from retailflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +37,15 @@ def rank_file() -> tuple[str, str]:
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document and the bytes they decode to, as digests."""
     return bpe.token_digests(table(spark, folder, "documents"), *rank_file())
+
+
+@query
+def op2_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    groups = simhash.near_groups(table(spark, folder, "documents"))
+    return groups.select(
+        "doc_id",
+        simhash.fingerprint_hex("fp").alias("fingerprint"),
+        "component_id",
+        simhash.fingerprint_hex("group_fp").alias("group_fingerprint"),
+    )
