@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, simhash
+from retailflow.llm import bpe, simhash, sketch
 from retailflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,9 @@ def op2_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
         "component_id",
         simhash.fingerprint_hex("group_fp").alias("group_fingerprint"),
     )
+
+
+@query
+def op3_threshold_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketch of every document and of its edited text, and likeness to that and to the next document."""
+    return sketch.edited_pairs(table(spark, folder, "documents"))
