@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, simhash, sketch
+from retailflow.llm import bpe, secrets, simhash, sketch
 from retailflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,11 @@ def op2_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
 def op3_threshold_sketch(spark: SparkSession, folder: str) -> DataFrame:
     """Sketch of every document and of its edited text, and likeness to that and to the next document."""
     return sketch.edited_pairs(table(spark, folder, "documents"))
+
+
+@query
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document: by the rules, and random strings by the character models."""
+    docs = table(spark, folder, "documents")
+    model = secrets.train(secrets.corpus_counts(docs))
+    return secrets.find_secrets(docs, model)
