@@ -2,6 +2,48 @@
 
 from __future__ import annotations
 
+WORDS = r"len(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'))"
+
+# A mix takes the documents of a source in order of hash until the next one would pass the budget;
+# that one is taken too if more than half of it fits. Shares of capped sources go to the others round
+# by round.
+SOURCE_MIX = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, coalesce({WORDS.format("text")}, 0) AS size,
+    ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || md5(coalesce(text, ''))), 1, 9))::BIGINT AS place
+  FROM documents
+), sources AS (
+  SELECT source, size AS source_size, 2.0 * size AS most,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS size FROM docs GROUP BY source)
+), rounds AS (
+  SELECT 0 AS n, source, source_size, most, weight, false AS capped,
+    1.5 * (SELECT sum(source_size) FROM sources) * weight / (SELECT sum(weight) FROM sources) AS share
+  FROM sources
+  UNION ALL
+  SELECT n + 1, source, source_size, most, weight, full_now,
+    (1.5 * sum(source_size) OVER () - coalesce(sum(most) FILTER (full_now) OVER (), 0)) * weight
+      / nullif(sum(weight) FILTER (NOT full_now) OVER (), 0)
+  FROM (SELECT *, capped OR share >= most AS full_now FROM rounds) WHERE n < 40
+), targets AS (
+  SELECT source, source_size, round(CASE WHEN capped OR share >= most THEN most ELSE share END, 6) AS target
+  FROM rounds WHERE n = 40
+), plan AS (
+  SELECT *, floor(target / greatest(source_size, 1)) AS times FROM targets
+), sums AS (
+  SELECT source, place, sum(size) AS words FROM docs GROUP BY source, place
+), cells AS (
+  SELECT p.source, s.place, p.target - p.times * p.source_size AS due, s.words,
+    sum(s.words) OVER (PARTITION BY p.source ORDER BY s.place) AS upto
+  FROM sums s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
+)
+SELECT d.doc_id, d.size, p.source_size, p.target,
+  (d.size * (p.times + CASE WHEN c.upto <= c.due OR (c.upto - c.words <= c.due AND 2 * (c.due - (c.upto - c.words)) > c.words)
+    THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
+JOIN cells c ON c.source IS NOT DISTINCT FROM d.source AND c.place = d.place
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_source_mix": SOURCE_MIX}

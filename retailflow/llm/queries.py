@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, secrets, simhash, sketch
+from retailflow.llm import bpe, mixing, secrets, simhash, sketch
 from retailflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,9 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = secrets.train(secrets.corpus_counts(docs))
     return secrets.find_secrets(docs, model)
+
+
+@query
+def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document the mix of sources takes."""
+    return mixing.mix_report(table(spark, folder, "documents"))
