@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, mixing, secrets, simhash, sketch
+from retailflow.llm import bpe, mixing, secrets, sharding, simhash, sketch
 from retailflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,18 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """How many words of every document the mix of sources takes."""
     return mixing.mix_report(table(spark, folder, "documents"))
+
+
+@query
+def op5_uniform_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document in a uniform shuffle with exact row counts."""
+    dealt = sharding.shuffle_into_shards(table(spark, folder, "documents"), shards=24)
+    return dealt.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
