@@ -45,5 +45,81 @@ JOIN cells c ON c.source IS NOT DISTINCT FROM d.source AND c.place = d.place
 """
 
 
+# URL models: every order keeps contexts of one in 2,048 characters, and the longest kept one counts.
+def _url_model(order: int) -> str:
+    context = f"substr(gram, {5 - order}, {order})" if order else "''"
+    if order:
+        kept = "WHERE yes + no >= greatest(1.0, seen / 2048)"
+        lower = f"(SELECT {{0}} FROM model{order - 1} m WHERE m.context = substr(f.context, 2) AND m.symbol = f.symbol)"
+    else:
+        kept, lower = "", "1.0 / 42"
+    return f"""
+cells{order} AS (
+  SELECT {context} AS context, substr(gram, 5, 1) AS symbol, sum(CASE label WHEN 1 THEN n ELSE 0 END)::DOUBLE AS yes,
+    sum(CASE label WHEN 0 THEN n ELSE 0 END)::DOUBLE AS no
+  FROM counted GROUP BY 1, 2
+), kept{order} AS (
+  SELECT * FROM (SELECT context, sum(yes) AS yes, sum(no) AS no FROM cells{order} GROUP BY 1), total {kept}
+), model{order} AS (
+  SELECT f.context, f.symbol, (coalesce(c.yes, 0) + 4 * {lower.format("p_yes")}) / (f.yes + 4) AS p_yes,
+    (coalesce(c.no, 0) + 4 * {lower.format("p_no")}) / (f.no + 4) AS p_no
+  FROM (SELECT k.*, unnest(string_split('abcdefghijklmnopqrstuvwxyz0123456789./-_~$', '')) AS symbol FROM kept{order} k) f
+  LEFT JOIN cells{order} c ON c.context = f.context AND c.symbol = f.symbol
+),"""
+
+
+_URL_JOINS = "".join(
+    f" LEFT JOIN model{k} m{k} ON m{k}.symbol = substr(gram, 5, 1) AND m{k}.context = "
+    + (f"substr(gram, {5 - k}, {k})" if k else "''")
+    for k in range(5)
+)
+_URL_RATIO = "coalesce(" + ", ".join(f"ln(m{k}.p_yes / m{k}.p_no)" for k in reversed(range(5))) + ", 0)"
+URL_VERDICTS = rf"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
+), parts AS (
+  SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM rests
+), named AS (
+  SELECT *, CASE
+      WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+      WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+      WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule,
+    regexp_replace(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^a-z0-9./_-]', '~', 'g') AS text
+  FROM parts
+), ruled AS (
+  SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS ruled FROM named
+), texts AS (
+  SELECT text, CASE ruled WHEN 'allow' THEN 1 WHEN 'block' THEN 0 END AS label, count(*) AS n,
+    ('0x' || substr(md5(text), 1, 8))::BIGINT % 5 = 0 AS held
+  FROM ruled GROUP BY ALL
+), counted AS (
+  SELECT label, gram, sum(n) AS n FROM (
+    SELECT label, n, substr('^^^^' || text || '$', unnest(range(1, length(text) + 2)), 5) AS gram
+    FROM texts WHERE label IS NOT NULL AND NOT held) GROUP BY 1, 2
+), total AS (
+  SELECT coalesce(sum(n), 0) AS seen FROM counted
+), {"".join(map(_url_model, range(5)))}
+grams AS (
+  SELECT text, substr('^^^^' || text || '$', unnest(range(1, length(text) + 2)), 5) AS gram FROM (SELECT DISTINCT text FROM texts)
+), scores AS (
+  SELECT text, CASE text WHEN '' THEN 0.0 ELSE round(sum(round({_URL_RATIO}, 9)) / count(*), 6) END AS score
+  FROM grams {_URL_JOINS} GROUP BY text
+), steps AS (
+  SELECT floor(score * 100) AS step, sum(n) AS n FROM texts JOIN scores USING (text) WHERE held AND label = 1 GROUP BY 1
+), bound AS (
+  SELECT coalesce(min(step) FILTER (upto > 0.01 * every), max(step), 0) / 100 AS bound FROM (
+    SELECT step, sum(n) OVER (ORDER BY step) AS upto, sum(n) OVER () AS every FROM steps)
+)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN score >= bound THEN 'allow' ELSE 'block' END) AS verdict, score
+FROM ruled JOIN scores USING (text), bound
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mix": SOURCE_MIX}
+    return {"op4_source_mix": SOURCE_MIX, "op8_url_verdicts": URL_VERDICTS}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, mixing, secrets, sharding, simhash, sketch
+from retailflow.llm import bpe, mixing, secrets, sharding, simhash, sketch, urls
 from retailflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +84,18 @@ def op5_uniform_shards(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+@query
+def op8_url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on the URL of every page, by rule or by the character models."""
+    return urls.judge(table(spark, folder, "pages"), URL_RULES)
