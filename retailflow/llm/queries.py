@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, mixing, secrets, sharding, simhash, sketch, urls
+from retailflow.llm import bpe, mixing, pii, secrets, sharding, simhash, sketch, urls
 from retailflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +99,9 @@ URL_RULES = [
 def op8_url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on the URL of every page, by rule or by the character models."""
     return urls.judge(table(spark, folder, "pages"), URL_RULES)
+
+
+@query
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: by the rules, and candidates that the boosted trees select."""
+    return pii.find_personal_data(table(spark, folder, "documents"))
