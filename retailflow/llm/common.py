@@ -52,15 +52,6 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def extended(schema: T.StructType, *fields: tuple[str, str]) -> T.StructType:
-    """``schema`` plus new columns, which replace columns of the same name (in any case)."""
-    taken = {name.lower() for name, _ in fields}
-    out = T.StructType([f for f in schema.fields if f.name.lower() not in taken])
-    for name, kind in fields:
-        out = out.add(name, kind)
-    return out
-
-
 def _chunks(texts: list[str]) -> Iterator[list[str]]:
     """The texts in order, in lists of at most ``CHUNK`` characters or one text."""
     held, size = [], 0
@@ -89,9 +80,7 @@ def map_rows(
     passed on untouched.
     """
     inputs = df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(column), F.lit("")).alias("__text"))
-    made = T.StructType()
-    for name, kind in fields:
-        made = made.add(name, kind)
+    made = T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in fields))
     schema = T.StructType([*inputs.schema.fields[:-1], *made.fields])
     made_arrow = to_arrow_schema(made)
     width = len(schema.fields) - len(fields)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, mixing, pii, secrets, sharding, simhash, sketch, urls
+from retailflow.llm import bpe, mixing, pii, secrets, sharding, simhash, sketch, toxicity, urls
 from retailflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,3 +105,10 @@ def op8_url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
 def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document: by the rules, and candidates that the boosted trees select."""
     return pii.find_personal_data(table(spark, folder, "documents"))
+
+
+@query
+def op6_toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document by the counterfactual-regularised classifier."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return toxicity.score_documents(docs, toxicity.train(docs, labels))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailflow.llm.common import extended, map_rows, sha256_hex
+from retailflow.llm.common import map_rows, sha256_hex
 
 # Fixed patterns of the rules; values shorter than the number beside them are dropped.
 ASSIGN = re.compile(
@@ -226,6 +226,5 @@ def mask_secrets(docs: DataFrame, model: RandomnessModel) -> DataFrame:
             texts = [None if x is None else masked(x, model) for x in batch.column(at).to_pylist()]
             yield batch.set_column(at, "text", pa.array(texts, batch.schema.field(at).type))
 
-    clean = docs.mapInArrow(run, extended(docs.schema))
-    # A count that was right stays right; without spans it is untouched.
+    clean = docs.mapInArrow(run, docs.schema)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
