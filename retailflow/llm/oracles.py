@@ -121,5 +121,58 @@ FROM ruled JOIN scores USING (text), bound
 """
 
 
+# Quality cutoffs: chances of so few rejections or fewer are summed from logarithms of factorials.
+QUALITY_RULES = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '?') AS lang, coalesce(text, '') AS text,
+    coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, w[i:i + 4] AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)
+), repeats AS (
+  SELECT doc_id, count(DISTINCT pos) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS pos
+    FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS seen FROM windows) WHERE seen > 1)
+  GROUP BY 1
+), lines AS (
+  SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM words
+), base AS (
+  SELECT w.doc_id, lang, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines,
+    len(list_filter(w, lambda x: strlen(x) = 1)) AS n_short
+  FROM words w JOIN lines USING (doc_id) LEFT JOIN repeats r USING (doc_id)
+), steps AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    lang AS stratum,
+    least(ceil(n_symbols * 100 / greatest(word_chars, 1)), 100) AS s1, least(ceil(n_dup_lines * 100 / greatest(n_lines, 1)), 100) AS s2,
+    least(ceil(n_repeat_words * 100 / greatest(n_words, 1)), 100) AS s3, least(ceil(n_short * 100 / greatest(n_words, 1)), 100) AS s4
+  FROM base
+), known AS (
+  SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1
+), tested AS (
+  SELECT stratum, good, unnest([1, 2, 3, 4]) AS rule, unnest([s1, s2, s3, s4]) AS step FROM steps JOIN known USING (doc_id)
+  WHERE NOT base_failed
+), counts AS (
+  SELECT stratum, rule, step, sum(good::INT) AS good, sum((NOT good)::INT) AS bad FROM tested GROUP BY ALL
+), summed AS (
+  SELECT *, sum(good) OVER p AS n, sum(bad) OVER p AS n_bad, sum(good) OVER d AS good_above, sum(bad) OVER d AS bad_above
+  FROM counts WINDOW p AS (PARTITION BY stratum, rule), d AS (PARTITION BY stratum, rule ORDER BY step DESC)
+), held AS (
+  SELECT *, round(bad_above::DOUBLE / greatest(n_bad, 1) - 10 * good_above::DOUBLE / greatest(n, 1), 9) AS gain FROM summed
+  WHERE step > 0 AND good_above < 0.005 * n
+    AND list_sum(list_transform(range(0, good_above::BIGINT + 1), lambda k: exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
+      + k * ln(0.005) + (n - k) * ln(0.995)))) <= 0.05 / (4 * (SELECT count(DISTINCT stratum) FROM counts))
+), cuts AS (
+  SELECT stratum, rule, max(step) - 1 AS cut
+  FROM (SELECT *, max(gain) OVER (PARTITION BY stratum, rule) AS most FROM held) WHERE gain = most AND gain > 0 GROUP BY 1, 2
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT EXISTS (SELECT 1 FROM cuts c WHERE c.stratum = s.stratum
+    AND CASE rule WHEN 1 THEN s1 WHEN 2 THEN s2 WHEN 3 THEN s3 ELSE s4 END > cut) AS kept
+FROM steps s
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mix": SOURCE_MIX, "op8_url_verdicts": URL_VERDICTS}
+    return {"op1_quality_rules": QUALITY_RULES, "op4_source_mix": SOURCE_MIX, "op8_url_verdicts": URL_VERDICTS}

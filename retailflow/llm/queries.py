@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, mixing, pii, secrets, sharding, simhash, sketch, toxicity, urls
+from retailflow.llm import bpe, mixing, pii, quality, secrets, sharding, simhash, sketch, toxicity, urls
 from retailflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,11 @@ def op6_toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document by the counterfactual-regularised classifier."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return toxicity.score_documents(docs, toxicity.train(docs, labels))
+
+
+@query
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures of every document, the base rule, and the verdict of the risk-controlled rules."""
+    out = quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return out.select("doc_id", *counts, "base_failed", "kept")
