@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 
 from retailflow.config import DisplayConfig
@@ -25,37 +23,39 @@ def shown_price(base, lift, cfg: DisplayConfig = DisplayConfig()):
     return _cents(np.maximum(candidate, 0.0))
 
 
-def _shown_one(base: float, lift: float, cfg: DisplayConfig) -> float:
-    """``shown_price`` of one row; NumPy scalars are too slow for the sequential rows."""
-    new = math.floor(base * (1.0 + lift) * 100 + 0.5) / 100.0
-    if not cfg.enabled:
-        return math.floor(new * 100 + 0.5) / 100.0
-    guarded = max(new, base * (1 + cfg.floor_pct))
-    whole = math.floor(guarded)
-    candidate = whole + cfg.charm_ending
-    if candidate > guarded:
-        candidate = (whole - 1.0) + cfg.charm_ending
-    return math.floor(max(candidate, 0.0) * 100 + 0.5) / 100.0
-
-
-def carry_base_prices(items, live, stored, lift, cfg: DisplayConfig, carried=None):
-    """Base price per row for rows sorted by (item, window).
+def carry_base_prices(items, live, stored, lift, cfg: DisplayConfig = DisplayConfig(), carried=None):
+    """Base and shown price per row for rows sorted by (item, window).
 
     A live price sets the base. Without one the base is the price shown in the item's previous
     window, then the stored price, then 0. ``carried`` is (item, shown price) of the row before the
     first one; the pair for the next chunk is returned with the result.
+
+    Rows from a known base to the next are a stretch, and stretches are independent. A price that is
+    shown again unchanged where nothing lifts it holds until the next lifted row, so a round prices
+    one row of every stretch and fills the rows up to its next change.
     """
-    base = live.copy()
-    shown = shown_price(base, lift, cfg)
-    for i in np.flatnonzero(np.isnan(live)):
-        if i > 0 and items[i - 1] == items[i]:
-            previous = shown[i - 1]
-        elif i == 0 and carried is not None and carried[0] == items[0]:
-            previous = carried[1]
-        else:
-            previous = 0.0 if np.isnan(stored[i]) else stored[i]
-        base[i] = previous
-        shown[i] = _shown_one(previous, lift[i], cfg)
-    if len(items):
-        carried = (items[-1], shown[-1])
-    return base, shown, carried
+    n = len(items)
+    base, shown = np.empty(n), np.empty(n)
+    if not n:
+        return base, shown, carried
+    known = ~np.isnan(live)
+    opens = np.append(True, items[1:] != items[:-1])
+    start = np.where(known, live, np.where(np.isnan(stored), 0.0, stored))
+    if carried is not None and carried[0] == items[0] and not known[0]:
+        start[0] = carried[1]
+    row = np.flatnonzero(known | opens)
+    end = np.append(row[1:], n)
+    price = start[row]
+    lifted = np.append(np.where(lift != 0, np.arange(n), n), n)
+    next_lifted = np.minimum.accumulate(lifted[::-1])[::-1]
+    while len(row):
+        new = shown_price(price, lift[row], cfg)
+        base[row], shown[row] = price, new
+        holds = shown_price(new, 0.0, cfg) == new
+        change = np.minimum(np.where(holds, next_lifted[row + 1], row + 1), end)
+        held = change - row - 1
+        place = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held) + np.repeat(row + 1, held)
+        base[place] = shown[place] = np.repeat(new, held)
+        open_still = change < end
+        row, end, price = change[open_still], end[open_still], new[open_still]
+    return base, shown, (items[-1], shown[-1])

@@ -132,7 +132,6 @@ def kth_smallest(rows: DataFrame, column: str, k: int) -> tuple[int, int] | None
         return None
     while True:
         width = (hi - lo) // _RADIX_BUCKETS + 1
-        bucket = F.floor((F.col(column) - F.lit(lo)) / F.lit(width)).cast("bigint")
         if width > 1:
             bucket = F.expr(f"(`{column}` - {lo}L) div {width}L")
         else:
@@ -153,15 +152,26 @@ def kth_smallest(rows: DataFrame, column: str, k: int) -> tuple[int, int] | None
 
 
 def chrono_cut(events: DataFrame, train_fraction: float, order: str, tie: str) -> Column:
-    """Predicate that marks the earliest floor(n * fraction) rows by (order, tie)."""
-    take = int(events.count() * train_fraction)
-    at = kth_smallest(events, order, take)
+    """Predicate that marks the earliest floor(n * fraction) rows by (order, tie).
+
+    Rows without an order or tie value come last: they count, and are not among the earliest.
+    """
+    known = events.where(F.col(order).isNotNull() & F.col(tie).isNotNull())
+    totals = events.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(order).isNotNull() & F.col(tie).isNotNull()).alias("known")
+    ).first()
+    take = int(totals["n"] * train_fraction)
+    complete = F.col(order).isNotNull() & F.col(tie).isNotNull()
+    if take >= totals["known"]:
+        return complete
+    at = kth_smallest(known, order, take)
     if at is None:
         return F.lit(False)
     cut, rank = at
-    tied = events.where(F.col(order) == cut)
+    tied = known.where(F.col(order) == cut)
     last = kth_smallest(tied, tie, rank)[0]
-    return (F.col(order) < cut) | ((F.col(order) == cut) & (F.col(tie) <= last))
+    early = (F.col(order) < cut) | ((F.col(order) == cut) & (F.col(tie) <= last))
+    return complete & F.coalesce(early, F.lit(False))
 
 
 def chrono_split(
@@ -169,4 +179,4 @@ def chrono_split(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) by time without sorting or moving the data: two filters on a cut point."""
     in_train = chrono_cut(events, train_fraction, order, tie)
-    return events.where(in_train), events.where(~in_train)
+    return events.where(in_train), events.where(~in_train)  # the predicate is never null

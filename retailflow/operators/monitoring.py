@@ -23,19 +23,19 @@ def verify_delivery(events: DataFrame, expected: Column, now_ms: Column) -> Data
 def order_violations(events: DataFrame, arrival: str = "event_id", block: int = ORDER_BLOCK) -> DataFrame:
     """[item_id, n_events, violations]: events older than the previous arrival of the same item.
 
-    Arrivals are compared inside blocks of the arrival number first, so a hot item is spread over many
+    Arrivals with one number come in order of their time; every row counts. Arrivals are compared inside blocks of the arrival number first, so a hot item is spread over many
     tasks; the block borders, one row per item and block, are compared afterwards.
     """
     located = events.select(
         "item_id", "event_time", arrival, F.floor(F.col(arrival) / block).alias("block")
     )
-    in_block = Window.partitionBy("item_id", "block").orderBy(arrival)
+    in_block = Window.partitionBy("item_id", "block").orderBy(arrival, "event_time")
     stepped = located.withColumn("previous", F.lag("event_time").over(in_block))
     blocks = stepped.groupBy("item_id", "block").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("event_time") < F.col("previous")).alias("inside"),
-        F.min_by("event_time", arrival).alias("first_time"),
-        F.max_by("event_time", arrival).alias("last_time"),
+        F.min_by("event_time", F.struct(arrival, "event_time")).alias("first_time"),
+        F.max_by("event_time", F.struct(arrival, "event_time")).alias("last_time"),
     )
     across = Window.partitionBy("item_id").orderBy("block")
     border = F.col("first_time") < F.lag("last_time").over(across)

@@ -114,9 +114,9 @@ def serving_lookup(serving: DataFrame, skus: DataFrame) -> DataFrame:
     return serving.join(skus.select("item_id").distinct(), "item_id", "left_semi")
 
 
-def lookup_items(serving: DataFrame, item_ids: list[int]) -> DataFrame:
-    """Point or bulk read by a short id list; the filter reaches the Parquet scan."""
-    return serving.where(F.col("item_id").isin(item_ids))
+def elasticity_lookup(lists: DataFrame, skus: DataFrame) -> DataFrame:
+    """Related-item lists of the wanted items."""
+    return lists.join(skus.select("item_id").distinct(), "item_id", "left_semi")
 
 
 def _active(serving: DataFrame, window: str) -> DataFrame:
@@ -176,6 +176,11 @@ def price_ticker(updates: DataFrame, n: int = TICKER_EVENTS) -> DataFrame:
     return recent_updates(updates, n).groupBy("item_id").agg(F.sort_array(F.collect_list(point)).alias("series"))
 
 
-def tail_updates(updates: DataFrame, last_seen: int, n: int = TICKER_EVENTS) -> DataFrame:
-    """The next n updates after the last one seen."""
-    return updates.where(F.col("event_time") > last_seen).orderBy("event_time", "item_id").limit(n)
+def tail_updates(updates: DataFrame, last_time: int, last_item: int, n: int = TICKER_EVENTS) -> DataFrame:
+    """The next n updates after the last one seen, in order of (time, item).
+
+    An item has at most one update for each time, so the pair of the last row of a page is an exact
+    cursor: pages follow each other without loss or repetition, also where a time is cut by the page.
+    """
+    later = (F.col("event_time") > last_time) | ((F.col("event_time") == last_time) & (F.col("item_id") > last_item))
+    return updates.where(later).orderBy("event_time", "item_id").limit(n)

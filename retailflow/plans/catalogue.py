@@ -14,8 +14,8 @@ from retailflow.functions import pricing
 from retailflow.operators import affinity, decisions, demand, events, monitoring, serving, velocity
 from retailflow.paths import Lake
 from retailflow.plans.nightly import run_nightly
-from retailflow.schemas import PRICE_UPDATE, TRAFFIC_RECORD
-from retailflow.session import cut_lineage, prepare, scratch
+from retailflow.schemas import PRICE_UPDATE, SERVING, TRAFFIC_RECORD
+from retailflow.session import prepare, scratch, written
 from retailflow.sources import files, wire
 from retailflow.sources.tables import Tables
 from retailflow.streaming import pricing_job
@@ -29,7 +29,7 @@ SPEED = SpeedConfig(window_seconds=WINDOW_SECONDS, history_ttl_seconds=HISTORY_T
 
 # A fixed "now" keeps lag numbers repeatable: 2024-02-01T00:00:00Z.
 NOW_MS = 1_706_745_600_000
-LAST_SEEN_MS = 1_705_276_800_000  # 2024-01-15T00:00:00Z
+LAST_SEEN_MS, LAST_SEEN_ITEM = 1_705_276_800_000, 40  # 2024-01-15T00:00:00Z, in the middle of a page
 CAMPAIGNS = (
     events.CampaignWindow("2024-01-05T12:00:00", "2024-01-06T12:00:00", 8.0),
     events.CampaignWindow("2024-01-06T00:00:00", "2024-01-07T00:00:00", 3.0),
@@ -87,16 +87,35 @@ def click_edges(t: Tables) -> DataFrame:
 
 
 def order_edges(t: Tables) -> DataFrame:
-    return cut_lineage(affinity.co_purchase(t.order_baskets()))
+    return affinity.co_purchase(t.order_baskets())
+
+
+def click_graph(t: Tables) -> DataFrame:
+    """Click edges with the community of the source item."""
+    edges = written(click_edges(t), "edges")
+    labels = written(affinity.communities(edges), "labels")
+    named = labels.select(F.col("id").alias("item_id"), F.col("label").alias("community"))
+    return edges.join(named, "item_id", "left")
+
+
+_PUBLISHED: dict[tuple[str, str], str] = {}
 
 
 def click_serving(t: Tables) -> DataFrame:
-    """Serving rows from the click forecast, click edges and the property history."""
-    graph = click_edges(t).withColumn("community", F.lit(None).cast("bigint"))
-    properties = t.item_properties()
-    return serving.publish_serving(
-        click_forecast(t), graph, demand.build_inventory(properties), demand.build_catalog_price(properties)
-    )
+    """Serving rows from the click forecast, click graph and property history.
+
+    They are published once for a session and folder; the queries that follow from them read the table.
+    """
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _PUBLISHED:
+        properties = t.item_properties()
+        rows = serving.publish_serving(
+            click_forecast(t), click_graph(t), demand.build_inventory(properties), demand.build_catalog_price(properties)
+        )
+        path = scratch(t.spark, "serving")
+        rows.write.parquet(path)
+        _PUBLISHED[key] = path
+    return t.spark.read.schema(SERVING).parquet(_PUBLISHED[key])
 
 
 def conversion_share():
@@ -133,8 +152,7 @@ def stage_bronze(t: Tables) -> Lake:
 
 def stage_wire(t: Tables) -> str:
     path = scratch(t.spark, "wire")
-    known = t.clicks().where(F.col("event").isin(*events.EVENT_TYPES))
-    wire.encode_records(known.select(*TRAFFIC_RECORD.names)).write.parquet(path)
+    wire.encode_records(t.clicks().select(*TRAFFIC_RECORD.names)).write.parquet(path)
     return path
 
 
@@ -172,8 +190,7 @@ def read_item_properties(t: Tables) -> DataFrame:
 
 @query
 def parse_events(t: Tables) -> DataFrame:
-    known = t.clicks().where(F.col("event").isin(*events.EVENT_TYPES))
-    return wire.parse_events(wire.encode_records(known.select(*TRAFFIC_RECORD.names)))
+    return wire.parse_events(wire.encode_records(t.clicks().select(*TRAFFIC_RECORD.names)))
 
 
 @query
@@ -205,7 +222,7 @@ def encode_updates(t: Tables) -> DataFrame:
 
 @query
 def tail_updates(t: Tables) -> DataFrame:
-    return serving.tail_updates(click_updates(t), LAST_SEEN_MS)
+    return serving.tail_updates(click_updates(t), LAST_SEEN_MS, LAST_SEEN_ITEM)
 
 
 @query
@@ -465,7 +482,7 @@ def sku_universe(t: Tables) -> DataFrame:
     properties = t.item_properties()
     return serving.sku_universe(
         click_forecast(t),
-        click_edges(t).withColumn("community", F.lit(None).cast("bigint")),
+        click_edges(t).withColumn("community", F.lit(None).cast("bigint")),  # names no item of its own
         demand.build_inventory(properties),
         demand.build_catalog_price(properties),
     )
@@ -519,8 +536,7 @@ def order_violations(t: Tables) -> DataFrame:
         F.col("l_shipdate").alias("event_time"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("event_id"),
     )
-    arrivals = lines.groupBy("item_id", "event_id").agg(F.max("event_time").alias("event_time"))
-    return monitoring.order_violations(arrivals, block=10_000)
+    return monitoring.order_violations(lines, block=10_000)
 
 
 @query
@@ -557,9 +573,70 @@ def nightly_batch(t: Tables) -> DataFrame:
 @query
 def pricing_stream(t: Tables) -> DataFrame:
     """Wire files drained by the pricing job, without a trained classifier."""
-    stored = files.write_zone(click_serving(t), scratch(t.spark, "serving"))
-    live = wire.parse_events(wire.stream_wire(t.spark, stage_wire(t)))
-    live = live.where(F.col("item_id") > 0)
     root = scratch(t.spark, "pricing")
-    pricing_job.drain(pricing_job.start_pricing(live, stored, root, cfg=SPEED, once=True))
+    live = pricing_job.accepted_events(wire.stream_wire(t.spark, stage_wire(t)))
+    pricing_job.drain(pricing_job.start_pricing(live, click_serving(t), root, cfg=SPEED, once=True))
     return t.spark.read.parquet(pricing_job.StreamPaths(root).updates).drop("batch_id")
+
+
+def scored_stream(t: Tables) -> str:
+    """Root folder of the pricing job drained with a classifier."""
+    root = scratch(t.spark, "scored")
+    live = pricing_job.accepted_events(wire.stream_wire(t.spark, stage_wire(t)))
+    pricing_job.drain(pricing_job.start_pricing(live, click_serving(t), root, fixed_weights(), SPEED, once=True))
+    return root
+
+
+@query
+def scored_pricing_stream(t: Tables) -> DataFrame:
+    """Wire files drained by the pricing job with a classifier; equal to the batch form in closed windows."""
+    return t.spark.read.parquet(pricing_job.StreamPaths(scored_stream(t)).updates).drop("batch_id")
+
+
+@query
+def scored_price_updates(t: Tables) -> DataFrame:
+    """The whole price chain in batch form: history, score, surge, uplift, price walk."""
+    accepted = pricing_job.accepted_events(wire.encode_records(t.clicks().select(*TRAFFIC_RECORD.names)))
+    windows = velocity.windowed_velocity(accepted, WINDOW_SECONDS)
+    history = velocity.surge_score(velocity.feature_history(windows, HISTORY_TTL), fixed_weights())
+    scored = written(history.drop("sequence"), "scored")
+    decided = decisions.decide_prices(scored, click_serving(t), F.col("surge_prob"), WINDOW_SECONDS)
+    return decisions.update_records(decided, F.unix_millis("window_end"))
+
+
+@query
+def stream_orders(t: Tables) -> DataFrame:
+    """Orders that the pricing job writes for the low-stock alerts of its batches."""
+    return t.spark.read.parquet(pricing_job.StreamPaths(scored_stream(t)).orders).drop("batch_id")
+
+
+@query
+def stream_live(t: Tables) -> DataFrame:
+    """Newest live values after all batches of the pricing job."""
+    return pricing_job.current_live(t.spark, scored_stream(t)).select("item_id", "velocity", "velocity_window")
+
+
+@query
+def stream_rejects(t: Tables) -> DataFrame:
+    """Wire records rejected by reason; every hundredth record is cut short and another one garbled."""
+    path, root = scratch(t.spark, "wire"), scratch(t.spark, "rejects")
+    encoded = wire.encode_records(t.clicks().select(*TRAFFIC_RECORD.names, "event_id"))
+    number = F.get_json_object(F.expr("substring(value, 6)").cast("string"), "$.event_id").cast("bigint") % 100
+    cut = F.when(number == 0, F.expr("substring(value, 1, 3)")).when(number == 1, F.expr("substring(value, 1, 12)"))
+    encoded.withColumn("value", F.coalesce(cut, "value")).write.parquet(path)
+    pricing_job.drain(pricing_job.start_rejects(wire.stream_wire(t.spark, path), root, once=True))
+    rejected = t.spark.read.parquet(pricing_job.StreamPaths(root).rejects)
+    return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def merge_serving(t: Tables) -> DataFrame:
+    """A nightly publication merged into the table with live prices."""
+    return serving.merge_serving(live_table(t), click_serving(t))
+
+
+@query
+def elasticity_lookup(t: Tables) -> DataFrame:
+    """Related-item lists of all items bought in the click stream."""
+    wanted = silver(t).where(F.col("event") == "transaction").select("item_id")
+    return serving.elasticity_lookup(affinity.elasticity_lists(order_edges(t)), wanted)

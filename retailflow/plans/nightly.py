@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +27,11 @@ def run_nightly(
     spark: SparkSession,
     lake: Lake,
     forecaster: Forecaster = boosted_forecast,
-    existing: DataFrame | None = None,
 ) -> DataFrame:
-    """Run all stages over ``lake`` and return the published serving table.
+    """Run all stages over ``lake`` and return the newly published version of the serving table.
+
+    The version before it, if there is one, is merged in and left as it is, so a failed run or an open
+    reader loses nothing.
 
     Every stage writes its table and the next one reads it, so a lost executor costs one stage. The
     quality gate stands between silver and everything derived from it.
@@ -49,6 +53,38 @@ def run_nightly(
     prices = write_zone(build_catalog_price(properties), lake.gold("pricing"))
 
     published = publish_serving(forecast, graph, inventory, prices)
+    existing = current_serving(spark, lake)
     if existing is not None:
         published = merge_serving(existing, published)
-    return write_zone(published, lake.serving())
+    return publish_version(published, lake)
+
+
+def publish_version(rows: DataFrame, lake: Lake) -> DataFrame:
+    """Write a new version of the serving table, then name it in the list of published versions."""
+    spark = rows.sparkSession
+    known = published_versions(spark, lake)
+    number = 1 if known is None else known.agg(F.max("number")).first()[0] + 1
+    version = f"v{number}-{uuid.uuid4().hex}"
+    written = write_zone(rows, lake.serving(version))
+    entry = spark.range(1).select(F.lit(number).alias("number"), F.lit(version).alias("version"))
+    entry.coalesce(1).write.mode("append").parquet(lake.serving("published"))
+    return written
+
+
+def published_versions(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """[number, version] of all complete versions; None before the first."""
+    try:
+        return spark.read.parquet(lake.serving("published"))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def current_serving(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """The newest complete version of the serving table."""
+    known = published_versions(spark, lake)
+    if known is None:
+        return None
+    version = known.agg(F.max_by("version", F.struct("number", "version"))).first()[0]
+    return spark.read.parquet(lake.serving(version))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from retailflow.plans.catalogue import CAMPAIGNS, HISTORY_TTL, LAST_SEEN_MS, NOW_MS, WINDOW_SECONDS
+from retailflow.plans.catalogue import CAMPAIGNS, HISTORY_TTL, LAST_SEEN_ITEM, LAST_SEEN_MS, NOW_MS, WINDOW_SECONDS
 
 WINDOW_LABEL = f"{WINDOW_SECONDS}s"
 
@@ -114,12 +114,14 @@ SERVING_ROWS = """universe AS (
   SELECT item_id FROM forecast UNION SELECT item_id FROM click_edges
   UNION SELECT item_id FROM inventory UNION SELECT item_id FROM catalog_price),
 serving AS (
-  SELECT u.item_id, f.forecast_demand, e.max_elasticity, CAST(NULL AS BIGINT) AS community,
+  SELECT u.item_id, f.forecast_demand, e.max_elasticity,
+         CASE WHEN e.max_elasticity IS NOT NULL THEN g.label END AS community,
          CAST(i.stock AS INTEGER) AS stock, c.catalog_price AS price,
          CAST(NULL AS DOUBLE) AS velocity, CAST(NULL AS VARCHAR) AS velocity_window
   FROM universe u
   LEFT JOIN forecast f USING (item_id)
   LEFT JOIN (SELECT item_id, max(elasticity_weight) AS max_elasticity FROM click_edges GROUP BY 1) e USING (item_id)
+  LEFT JOIN communities g ON g.id = u.item_id
   LEFT JOIN inventory i USING (item_id)
   LEFT JOIN catalog_price c USING (item_id))"""
 
@@ -185,12 +187,41 @@ LIVE = f"""live AS (
          '{WINDOW_LABEL}' AS velocity_window
   FROM decided GROUP BY item_id),
 live_table AS (
-  SELECT coalesce(l.item_id, s.item_id) AS item_id, s.forecast_demand, s.stock,
+  SELECT coalesce(l.item_id, s.item_id) AS item_id, s.forecast_demand, s.max_elasticity, s.community, s.stock,
          coalesce(l.price, s.price) AS price, l.velocity, l.velocity_window
   FROM serving s FULL JOIN live l ON l.item_id = s.item_id)"""
 
+def _communities(rounds: int = 5) -> list[str]:
+    parts = [
+        """neighbours AS (
+  SELECT item_id AS src, related_item_id AS dst FROM order_edges
+  UNION ALL SELECT related_item_id, item_id FROM order_edges)""",
+        """labels_0 AS (SELECT DISTINCT src AS id, src AS label FROM neighbours)""",
+    ]
+    for i in range(rounds):
+        parts.append(
+            f"""labels_{i + 1} AS MATERIALIZED (
+  SELECT id, label FROM (
+    SELECT n.dst AS id, l.label, row_number() OVER (PARTITION BY n.dst ORDER BY count(*) DESC, l.label) AS rn
+    FROM neighbours n JOIN labels_{i} l ON l.id = n.src GROUP BY n.dst, l.label) WHERE rn = 1)"""
+        )
+    parts.append(f"""communities AS (SELECT id, label FROM labels_{rounds})""")
+    return parts
+
+
+_REORDERS = """SELECT event_time, item_id AS sku, CAST(greatest(200 - stock_level, 0) AS INTEGER) AS qty,
+  'supplier@example.com' AS supplier_email,
+  printf('[AUTO-REORDER] SKU %d low stock (%d units)', item_id, stock_level) AS subject,
+  printf('Automated reorder triggered for SKU %d. Current stock %d is below threshold %d. '
+         || 'Please ship %d units to restore target 200.',
+         item_id, stock_level, reorder_threshold, greatest(200 - stock_level, 0)) AS body
+FROM alerts"""
+
 _BASE = [CLICKS, SILVER]
-_SERVING = [*_BASE, WINDOWS, FORECAST, PROPERTIES, INVENTORY, CATALOG_PRICE, CLICK_EDGES, SERVING_ROWS]
+_CLICK_COMMUNITIES = [p.replace("order_edges", "click_edges") for p in _communities()]
+_SERVING = [
+    *_BASE, WINDOWS, FORECAST, PROPERTIES, INVENTORY, CATALOG_PRICE, CLICK_EDGES, *_CLICK_COMMUNITIES, SERVING_ROWS,
+]
 _DECIDED = [*_SERVING, _surge(_SHARE), WALK]
 _LIVE = [*_DECIDED, LIVE]
 
@@ -230,24 +261,6 @@ def _page_rank(rounds: int = 5) -> list[str]:
     return parts
 
 
-def _communities(rounds: int = 5) -> list[str]:
-    parts = [
-        """neighbours AS (
-  SELECT item_id AS src, related_item_id AS dst FROM order_edges
-  UNION ALL SELECT related_item_id, item_id FROM order_edges)""",
-        """labels_0 AS (SELECT DISTINCT src AS id, src AS label FROM neighbours)""",
-    ]
-    for i in range(rounds):
-        parts.append(
-            f"""labels_{i + 1} AS MATERIALIZED (
-  SELECT id, label FROM (
-    SELECT n.dst AS id, l.label, row_number() OVER (PARTITION BY n.dst ORDER BY count(*) DESC, l.label) AS rn
-    FROM neighbours n JOIN labels_{i} l ON l.id = n.src GROUP BY n.dst, l.label) WHERE rn = 1)"""
-        )
-    parts.append(f"""communities AS (SELECT id, label FROM labels_{rounds})""")
-    return parts
-
-
 def _campaign_case() -> str:
     cases = " ".join(
         f"WHEN make_timestamp(event_time * 1000) BETWEEN TIMESTAMP '{w.start.replace('T', ' ')}' "
@@ -264,7 +277,10 @@ _PRESENT_NEW = f"({_PRESENT_BASE} * (1.1::DOUBLE - l_discount * 2.0::DOUBLE))"
 
 STREAM_WALK = f"""limits AS (
   SELECT max(event_time) - INTERVAL '2 minutes' AS watermark FROM (
-    SELECT make_timestamp(event_time * 1000) AS event_time FROM clicks WHERE {_KNOWN} AND item_id > 0))"""
+    SELECT make_timestamp(event_time * 1000) AS event_time FROM clicks WHERE {_KNOWN}))"""
+
+# The stream prices every known event, also of items that the batch cleaning drops.
+STREAM_EVENTS = SILVER.replace("silver AS (", "stream_events AS (").replace(" AND item_id > 0", "")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -272,7 +288,7 @@ def oracle_sql() -> dict[str, str]:
 
     sql["read_bronze_events"] = _with([CLICKS], "SELECT event_time, visitor_id, event, item_id FROM clicks")
     sql["read_item_properties"] = _with([PROPERTIES], "SELECT timestamp, itemid, property, value FROM properties")
-    sql["parse_events"] = _with([CLICKS], f"{_CLICK_PAYLOAD} WHERE {_KNOWN}")
+    sql["parse_events"] = _with([CLICKS], _CLICK_PAYLOAD)
     sql["stream_source"] = sql["parse_events"]
     sql["clean_events"] = _with(_BASE, "SELECT * FROM silver")
     sql["normalize_events"] = _with([CLICKS, NORMALIZED], "SELECT * FROM normalized")
@@ -332,10 +348,10 @@ FROM order_edges e LEFT JOIN communities c ON c.id = e.item_id LEFT JOIN pageran
     )
     sql["elasticity_lists"] = _with(
         [ORDER_EDGES],
-        """SELECT item_id, CAST(0 AS INTEGER) AS list_part,
+        """SELECT item_id, CAST(related_item_id // 10000 AS INTEGER) AS list_part,
   CAST(to_json(list({'related': related_item_id, 'weight': elasticity_weight} ORDER BY related_item_id)) AS VARCHAR)
     AS elasticity
-FROM order_edges GROUP BY item_id""",
+FROM order_edges GROUP BY ALL""",
     )
 
     sql["velocity"] = _with([*_BASE, WINDOWS], "SELECT * FROM windows")
@@ -384,7 +400,8 @@ FROM updates""",
     )
     sql["tail_updates"] = _with(
         _DECIDED,
-        f"SELECT * FROM updates WHERE event_time > {LAST_SEEN_MS} ORDER BY event_time, item_id LIMIT 1000",
+        f"SELECT * FROM updates WHERE (event_time, item_id) > ({LAST_SEEN_MS}, {LAST_SEEN_ITEM}) "
+        "ORDER BY event_time, item_id LIMIT 1000",
     )
     sql["price_ticker"] = _with(
         _DECIDED,
@@ -392,16 +409,7 @@ FROM updates""",
 FROM (SELECT * FROM updates ORDER BY event_time DESC, item_id DESC LIMIT 1000)""",
     )
     sql["low_stock_alerts"] = _with([*_SERVING, ALERTS], "SELECT * FROM alerts")
-    sql["reorders"] = _with(
-        [*_SERVING, ALERTS],
-        """SELECT event_time, item_id AS sku, CAST(greatest(200 - stock_level, 0) AS INTEGER) AS qty,
-  'supplier@example.com' AS supplier_email,
-  printf('[AUTO-REORDER] SKU %d low stock (%d units)', item_id, stock_level) AS subject,
-  printf('Automated reorder triggered for SKU %d. Current stock %d is below threshold %d. '
-         || 'Please ship %d units to restore target 200.',
-         item_id, stock_level, reorder_threshold, greatest(200 - stock_level, 0)) AS body
-FROM alerts""",
-    )
+    sql["reorders"] = _with([*_SERVING, ALERTS], _REORDERS)
     sql["alert_log"] = _with(
         [*_SERVING, ALERTS],
         """SELECT strftime(make_timestamp(event_time * 1000), '%H:%M:%S') AS time, item_id AS sku,
@@ -448,9 +456,9 @@ FROM live_table WHERE velocity IS NOT NULL ORDER BY velocity DESC, item_id LIMIT
     )
     sql["order_violations"] = """SELECT item_id, count(*) AS n_events,
   count(*) FILTER (event_time < previous) AS violations
-FROM (SELECT *, lag(event_time) OVER (PARTITION BY item_id ORDER BY event_id) AS previous
-      FROM (SELECT l_partkey + 1 AS item_id, l_orderkey * 8 + l_linenumber AS event_id, max(l_shipdate) AS event_time
-            FROM lineitem GROUP BY 1, 2))
+FROM (SELECT *, lag(event_time) OVER (PARTITION BY item_id ORDER BY event_id, event_time) AS previous
+      FROM (SELECT l_partkey + 1 AS item_id, l_orderkey * 8 + l_linenumber AS event_id, l_shipdate AS event_time
+            FROM lineitem))
 GROUP BY item_id"""
     sql["run_metrics"] = _with(
         [*_DECIDED, NORMALIZED],
@@ -463,10 +471,10 @@ UNION ALL SELECT 'pricing', 'low_stock_alerts', count(*) FILTER (stock < 50) FRO
 UNION ALL SELECT 'publish', 'records_processed', count(*) FROM serving""",
     )
 
-    stream_windows = WINDOWS.replace("windows AS (", "all_windows AS (", 1)
+    stream_windows = WINDOWS.replace("windows AS (", "all_windows AS (", 1).replace("FROM silver", "FROM stream_events")
     closed = "windows AS (SELECT * FROM all_windows WHERE window_end <= (SELECT watermark FROM limits))"
     sql["pricing_stream"] = _with(
-        [*_BASE, stream_windows, STREAM_WALK, closed, *_SERVING[3:], _surge("0.0"), WALK],
+        [*_BASE, STREAM_EVENTS, stream_windows, STREAM_WALK, closed, *_SERVING[3:], _surge("0.0"), WALK],
         "SELECT * FROM updates",
     )
     sql["nightly_batch"] = _with(
@@ -475,12 +483,39 @@ UNION ALL SELECT 'publish', 'records_processed', count(*) FROM serving""",
             """silver AS (
   SELECT DISTINCT make_timestamp(event_time * 1000) AS event_time, visitor_id, event, item_id
   FROM clicks WHERE event IN ('view', 'addtocart', 'transaction') AND item_id > 0)""",
-            FORECAST, PROPERTIES, INVENTORY, CATALOG_PRICE, CLICK_EDGES, SERVING_ROWS,
-            *[p.replace("order_edges", "click_edges") for p in _communities()],
+            FORECAST, PROPERTIES, INVENTORY, CATALOG_PRICE, CLICK_EDGES, *_CLICK_COMMUNITIES, SERVING_ROWS,
         ],
         """SELECT s.item_id, round(s.max_elasticity, 6) AS max_elasticity,
-  CASE WHEN s.max_elasticity IS NOT NULL THEN c.label END AS community, s.stock, s.price,
-  CASE WHEN s.forecast_demand IS NOT NULL THEN TRUE END AS has_forecast
-FROM serving s LEFT JOIN communities c ON c.id = s.item_id""",
+  s.community, s.stock, s.price, CASE WHEN s.forecast_demand IS NOT NULL THEN TRUE END AS has_forecast
+FROM serving s""",
+    )
+    sql["merge_serving"] = _with(
+        _LIVE,
+        """SELECT coalesce(p.item_id, o.item_id) AS item_id, coalesce(p.forecast_demand, o.forecast_demand) AS forecast_demand,
+  coalesce(p.max_elasticity, o.max_elasticity) AS max_elasticity, coalesce(p.community, o.community) AS community,
+  coalesce(p.stock, o.stock) AS stock, coalesce(o.price, p.price) AS price,
+  coalesce(CAST(o.velocity AS DOUBLE), p.velocity) AS velocity, coalesce(o.velocity_window, p.velocity_window) AS velocity_window
+FROM live_table o FULL JOIN serving p ON p.item_id = o.item_id""",
+    )
+    sql["elasticity_lookup"] = _with(
+        [*_BASE, ORDER_EDGES],
+        """SELECT item_id, CAST(related_item_id // 10000 AS INTEGER) AS list_part,
+  CAST(to_json(list({'related': related_item_id, 'weight': elasticity_weight} ORDER BY related_item_id)) AS VARCHAR)
+    AS elasticity
+FROM order_edges WHERE item_id IN (SELECT item_id FROM silver WHERE event = 'transaction') GROUP BY ALL""",
+    )
+    sql["stream_rejects"] = _with(
+        [CLICKS],
+        f"""SELECT reject_reason, count(*) AS n_rows FROM (
+  SELECT CASE WHEN event_id % 100 = 0 THEN 'short_frame' WHEN event_id % 100 = 1 THEN 'bad_payload'
+              WHEN NOT ({_KNOWN}) THEN 'unknown_event' END AS reject_reason FROM clicks)
+WHERE reject_reason IS NOT NULL GROUP BY 1""",
+    )
+    stream = [*_BASE, STREAM_EVENTS, stream_windows, STREAM_WALK, closed, *_SERVING[3:]]
+    sql["stream_orders"] = _with([*stream, ALERTS], _REORDERS)
+    sql["stream_live"] = _with(
+        stream,
+        f"""SELECT item_id, CAST(arg_max(velocity, window_start) AS DOUBLE) AS velocity, '{WINDOW_LABEL}' AS velocity_window
+FROM windows GROUP BY item_id""",
     )
     return sql

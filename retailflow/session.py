@@ -42,10 +42,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach; a local one only where the session names none."""
+    """The folder every executor can reach, as ``spark.checkpoint.dir`` names it.
+
+    Only where driver and executors are one process may the folder be made here; on a cluster a
+    missing setting is an error, since executors would not see a folder of the driver's machine.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="retailflow-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
@@ -57,6 +63,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once as Parquet below the shared folder and read back, with their true size."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss and fixes the value of an iteration."""
     shared_dir(df.sparkSession)

@@ -22,15 +22,33 @@ def _payload():
     return F.expr(f"substring(value, {FRAME_BYTES + 1}, length(value) - {FRAME_BYTES})")
 
 
-def parse_events(raw: DataFrame, schema: T.StructType = TRAFFIC_RECORD, avro_schema: str | None = None) -> DataFrame:
-    """Typed columns of wire records; JSON payloads, or Avro where the Avro package is on the class path."""
+def decode_records(raw: DataFrame, schema: T.StructType = TRAFFIC_RECORD, avro_schema: str | None = None) -> DataFrame:
+    """Columns of ``schema``, the raw ``value`` and ``reject_reason`` of every wire record.
+
+    Payloads are JSON, or Avro where the Avro package is on the class path. A record shorter than its
+    frame or with a payload that does not decode keeps its bytes and a reason; others have no reason.
+    """
     if avro_schema is None:
-        decoded = F.from_json(_payload().cast("string"), schema)
+        corrupt = "_corrupt_record"
+        wide = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+        record = F.from_json(_payload().cast("string"), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+        broken = F.col("record").isNull() | F.col(f"record.{corrupt}").isNotNull()
     else:
         from pyspark.sql.avro.functions import from_avro
 
-        decoded = from_avro(_payload(), avro_schema)
-    return raw.select(decoded.alias("record")).select("record.*")
+        record = from_avro(_payload(), avro_schema, {"mode": "PERMISSIVE"})
+        broken = F.col("record").isNull()
+    empty = F.forall(F.array(*[F.col(f"record.{c}").isNull() for c in schema.names]), lambda x: x)
+    short = F.coalesce(F.length("value"), F.lit(0)) <= FRAME_BYTES
+    reason = F.when(short, "short_frame").when(broken | empty, "bad_payload")
+    decoded = raw.select("value", record.alias("record")).withColumn("reject_reason", reason)
+    columns = [F.when(F.col("reject_reason").isNull(), F.col(f"record.{c}")).alias(c) for c in schema.names]
+    return decoded.select(*columns, "value", "reject_reason")
+
+
+def parse_events(raw: DataFrame, schema: T.StructType = TRAFFIC_RECORD, avro_schema: str | None = None) -> DataFrame:
+    """Typed columns of the wire records that decode."""
+    return decode_records(raw, schema, avro_schema).where("reject_reason IS NULL").select(*schema.names)
 
 
 def encode_records(records: DataFrame, avro_schema: str | None = None) -> DataFrame:

@@ -12,8 +12,6 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from retailflow.config import (
     HISTORY_FEATURES,
     HISTORY_STEPS,
-    MIN_WINDOW_BASELINE,
-    SECONDS_PER_DAY,
     SURGE_PROBABILITY,
     SpeedConfig,
 )
@@ -39,14 +37,18 @@ _HISTORY = T.StructType(
     [T.StructField("last_start", T.LongType()), T.StructField("steps", T.ArrayType(T.DoubleType()))]
 )
 _PRICE = T.StructType([T.StructField("shown", T.DoubleType())])
-_FLAT = HISTORY_STEPS * HISTORY_FEATURES
+#: Windows whose histories are laid out and scored at once.
+SCORED_AT_ONCE = 2_048
 
 
-def extend_history(flat: list[float], step: list[float]) -> list[float]:
-    """History with one more step: newest 50 steps, front-padded with the oldest known one."""
-    grown = [*flat, *step][-_FLAT:]
-    missing = (_FLAT - len(grown)) // HISTORY_FEATURES
-    return grown[:HISTORY_FEATURES] * missing + grown
+def history_rows(begins: np.ndarray) -> np.ndarray:
+    """Row numbers of the steps of each history: the newest 50 up to the row, none before ``begins``.
+
+    A shorter history repeats its oldest step in front.
+    """
+    ends = np.arange(len(begins))
+    back = np.arange(1 - HISTORY_STEPS, 1)
+    return np.maximum(ends[:, None] + back, np.maximum(begins, ends + back[0])[:, None])
 
 
 class ItemPricing(StatefulProcessor):
@@ -63,10 +65,9 @@ class ItemPricing(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         windows = pd.concat(list(rows)).sort_values("window_start", kind="stable").reset_index(drop=True)
-        sequences = self._grow_history(windows)
-        prob = surge_probabilities(self.weights, sequences).astype("float64")
-        baseline = windows["forecast_demand"].to_numpy(dtype="float64", na_value=0.0)
-        lift, surging = self._uplift(windows, baseline, prob)
+        prob = self._score(windows)
+        surging = (prob >= SURGE_PROBABILITY) & windows["can_surge"].to_numpy(dtype=bool)
+        lift = np.where(surging, windows["surge_uplift"].to_numpy(dtype="float64"), 0.0)
         stored = self.price.get() if self.price.exists() else None
         base, shown, _ = carry_base_prices(
             windows["item_id"].to_numpy(),
@@ -84,7 +85,7 @@ class ItemPricing(StatefulProcessor):
                 "window_end": windows["window_end"],
                 "velocity": windows["velocity"],
                 "base_price": base,
-                "baseline": baseline,
+                "baseline": windows["baseline"],
                 "surge_prob": prob,
                 "is_surge": surging,
                 "uplift": lift,
@@ -101,35 +102,33 @@ class ItemPricing(StatefulProcessor):
         self.history.clear()
         return iter(())
 
-    def _grow_history(self, windows: pd.DataFrame) -> list[list[float]]:
-        last_start, flat = None, []
+    def _score(self, windows: pd.DataFrame) -> np.ndarray:
+        """Surge probability of each window from its item's history, which is kept for the next batch."""
+        known = np.zeros((0, HISTORY_FEATURES))
+        last_start = None
         if self.history.exists():
             last_start, flat = self.history.get()
-            flat = list(flat)
+            known = np.asarray(flat, dtype="float64").reshape(-1, HISTORY_FEATURES)
             self.handle.deleteTimer(self._expiry_ms(last_start))
-        starts = windows["window_start"].astype("datetime64[s]").astype("int64")
-        sequences = []
         counts = windows[["velocity", "view_count", "addtocart_count"]].to_numpy(dtype="float64")
-        for start, step in zip(starts, counts, strict=True):
-            if last_start is not None and start - last_start > self.cfg.history_ttl_seconds:
-                flat = []
-            flat = extend_history(flat, [*step, 0.0])
-            last_start = int(start)
-            sequences.append(flat)
-        self.history.update((last_start, [float(x) for x in flat]))
-        self.handle.registerTimer(self._expiry_ms(last_start))
-        return sequences
-
-    def _uplift(self, windows: pd.DataFrame, daily: np.ndarray, prob: np.ndarray):
-        pricing = self.cfg.pricing
-        velocity = windows["velocity"].to_numpy(dtype="float64")
-        scaled = np.maximum(daily * (self.cfg.window_seconds / SECONDS_PER_DAY), MIN_WINDOW_BASELINE)
-        baseline = np.where(daily > 0, scaled, 0.0)
-        ratio = np.divide(velocity, baseline, out=np.zeros_like(velocity), where=baseline > 0)
-        surging = (prob >= SURGE_PROBABILITY) & (baseline > 0) & (ratio > pricing.surge_threshold)
-        related = np.clip(windows["max_elasticity"].to_numpy(dtype="float64", na_value=0.0), 0.0, 1.0)
-        raw = pricing.elasticity_coeff * (ratio - pricing.surge_threshold) * (1.0 - related)
-        return np.where(surging, np.minimum(raw, pricing.max_uplift_pct), 0.0), surging
+        steps = np.vstack([known, np.pad(counts, ((0, 0), (0, HISTORY_FEATURES - counts.shape[1])))])
+        starts = windows["window_start"].astype("datetime64[s]").astype("int64").to_numpy()
+        silence = np.diff(starts, prepend=starts[0] if last_start is None else last_start)
+        old = len(known)
+        fresh = np.where(silence > self.cfg.history_ttl_seconds, np.arange(old, len(steps)), 0)
+        begins = np.concatenate([np.zeros(old, dtype="int64"), np.maximum.accumulate(fresh)])
+        prob = np.empty(len(windows))
+        for low in range(0, len(windows), SCORED_AT_ONCE):
+            high = min(low + SCORED_AT_ONCE, len(windows))
+            # Rows before these that their histories can reach.
+            reach = max(0, old + low - HISTORY_STEPS)
+            rows = history_rows(begins[reach : old + high] - reach) + reach
+            flat = steps[rows[old + low - reach :]].reshape(high - low, -1)
+            prob[low:high] = surge_probabilities(self.weights, flat)
+        kept = steps[max(begins[-1], len(steps) - HISTORY_STEPS) :]
+        self.history.update((int(starts[-1]), kept.ravel().tolist()))
+        self.handle.registerTimer(self._expiry_ms(int(starts[-1])))
+        return prob
 
     def close(self) -> None:
         pass

@@ -1,4 +1,9 @@
-"""The pricing stream: wire records to price updates, alerts and live serving values."""
+"""The pricing stream: wire records to price updates, alerts, orders and live serving values.
+
+The serving table is read once when the job starts. Nightly runs publish new versions beside the old
+ones, so a running job keeps its files; it sees a new version when it is started again from its
+checkpoint with the version's table.
+"""
 
 from __future__ import annotations
 
@@ -13,10 +18,16 @@ from retailflow.operators.decisions import (
     low_stock_alerts,
     present_decisions,
     update_records,
+    reorders,
     with_lookups,
+    with_surge,
 )
+from retailflow.operators.serving import live_serving
 from retailflow.operators.velocity import windowed_velocity
+from retailflow.operators.monitoring import observed
+from retailflow.schemas import EVENT_TYPES, TRAFFIC_RECORD
 from retailflow.session import prepare
+from retailflow.sources.wire import decode_records
 from retailflow.streaming.keyed_state import DECISION, ItemPricing
 
 
@@ -38,6 +49,18 @@ class StreamPaths:
     def alerts(self) -> str:
         return f"{self.root}/alerts"
 
+    @property
+    def orders(self) -> str:
+        return f"{self.root}/orders"
+
+    @property
+    def live(self) -> str:
+        return f"{self.root}/live"
+
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejects"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
@@ -48,7 +71,10 @@ def priced_stream(
 ) -> DataFrame:
     """Decisions of closed windows: windowed counts, serving lookup, keyed state, presentation."""
     prepare(events.sparkSession)
-    windows = with_lookups(windowed_velocity(events, cfg.window_seconds, cfg.watermark), serving)
+    looked_up = with_lookups(windowed_velocity(events, cfg.window_seconds, cfg.watermark), serving)
+    # All but the classifier's part of the surge test is known before the state is.
+    certain = with_surge(looked_up, F.lit(1.0), cfg.window_seconds, cfg.pricing)
+    windows = certain.withColumnsRenamed({"is_surge": "can_surge", "uplift": "surge_uplift"})
     decided = windows.groupBy("item_id").transformWithStateInPandas(
         statefulProcessor=ItemPricing(weights, cfg),
         outputStructType=DECISION,
@@ -72,9 +98,12 @@ def write_batch(paths: StreamPaths, cfg: SpeedConfig):
         written = decisions.sparkSession.read.schema(decisions.schema).parquet(decided_path)
         stamp = F.unix_millis("window_end")
         update_records(written, stamp).write.mode("overwrite").parquet(f"{paths.updates}/{folder}")
-        low_stock_alerts(written, stamp, cfg.reorder_threshold).write.mode("overwrite").parquet(
-            f"{paths.alerts}/{folder}"
-        )
+        alerts = low_stock_alerts(written, stamp, cfg.reorder_threshold)
+        alerts.write.mode("overwrite").parquet(f"{paths.alerts}/{folder}")
+        reorders(alerts).write.mode("overwrite").parquet(f"{paths.orders}/{folder}")
+        newest = written.groupBy("item_id").agg(F.max("window_start").alias("as_of"))
+        live = live_serving(written, cfg.window_seconds).join(newest, "item_id")
+        live.write.mode("overwrite").parquet(f"{paths.live}/{folder}")
 
     return write
 
@@ -100,13 +129,50 @@ def start_pricing(
     )
 
 
+def current_live(spark: SparkSession, root: str) -> DataFrame:
+    """[item_id, price, velocity, velocity_window]: the newest live values of all batches so far."""
+    values = F.struct("price", "velocity", "velocity_window")
+    batches = spark.read.parquet(StreamPaths(root).live)
+    return batches.groupBy("item_id").agg(F.max_by(values, "as_of").alias("v")).select("item_id", "v.*")
+
+
+def start_rejects(raw: DataFrame, root: str, once: bool = False, name: str = "rejects") -> StreamingQuery:
+    """Route wire records that do not decode or are not of the event contract to the reject folder.
+
+    A row keeps its bytes and reason. Counts of accepted and rejected records are observed under
+    ``name`` and come with the progress of each batch.
+    """
+    paths = StreamPaths(root)
+    judged = observed(
+        reject_reasons(decode_records(raw)),
+        name,
+        {"accepted": F.col("reject_reason").isNull(), "rejected": F.col("reject_reason").isNotNull()},
+    )
+    return (
+        judged.where("reject_reason IS NOT NULL")
+        .select("value", "reject_reason")
+        .writeStream.format("parquet")
+        .option("path", paths.rejects)
+        .option("checkpointLocation", f"{paths.checkpoint}-rejects")
+        .trigger(**({"availableNow": True} if once else {"processingTime": "60 seconds"}))
+        .start()
+    )
+
+
+def reject_reasons(decoded: DataFrame) -> DataFrame:
+    """Adds to the reasons of decoding that of an event outside the contract."""
+    unknown = F.coalesce(~F.col("event").isin(*EVENT_TYPES), F.lit(True))
+    return decoded.withColumn("reject_reason", F.coalesce("reject_reason", F.when(unknown, "unknown_event")))
+
+
+def accepted_events(raw: DataFrame) -> DataFrame:
+    """Typed events of the wire records that the stream prices."""
+    return reject_reasons(decode_records(raw)).where("reject_reason IS NULL").select(*TRAFFIC_RECORD.names)
+
+
 def drain(query: StreamingQuery) -> None:
     """Wait for a bounded run and surface its error."""
     query.awaitTermination()
     failure = query.exception()
     if failure is not None:
         raise failure
-
-
-def read_output(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
