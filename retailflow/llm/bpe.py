@@ -23,6 +23,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retailflow.llm.common import map_rows, sha256_hex
 
@@ -177,7 +178,7 @@ def decode_ids(rows: DataFrame, path: str, pattern: str, ids: str = "ids") -> Da
             yield frame
 
     plain = rows.drop("decoded")
-    return plain.mapInPandas(run, plain.schema.add("decoded", "binary"))
+    return plain.mapInPandas(run, T.StructType([*plain.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
 def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -78,7 +78,8 @@ def spans_of(text: str, pattern: str) -> Column:
     )
 
 
-NONE = F.expr("cast(array() AS array<struct<start:int,end:int,value:string>>)")
+def _no_spans() -> Column:
+    return F.expr("cast(array() AS array<struct<start:int,end:int,value:string>>)")
 
 
 def _valid(kind: str, value: Column) -> Column:
@@ -154,12 +155,12 @@ def proposed(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     patterns = dict(zip(RULES, (EMAIL, IP, CARD, PHONE), strict=True))
     found = rows.withColumns(
         {
-            kind: F.when(worth[kind], F.filter(spans_of("body", patterns[kind]), _passes(kind))).otherwise(NONE)
+            kind: F.when(worth[kind], F.filter(spans_of("body", patterns[kind]), _passes(kind))).otherwise(_no_spans())
             for kind in RULES
         }
     )
     able = {"number": digit, "address": at | F.col("body").contains("at"), "handle": at, "device": F.col("body").contains(":")}
-    raw = {f"c_{kind}": F.when(able[kind], spans_of("body", pattern)).otherwise(NONE) for kind, pattern in GENERATORS.items()}
+    raw = {f"c_{kind}": F.when(able[kind], spans_of("body", pattern)).otherwise(_no_spans()) for kind, pattern in GENERATORS.items()}
     # Seven digits are the fewest of a telephone number.
     raw["c_number"] = F.filter(raw["c_number"], lambda s: F.length(F.regexp_replace(s["value"], "[^0-9]", "")) >= 7)
     found = found.withColumns(raw).withColumn("rules", F.concat(*RULES))
