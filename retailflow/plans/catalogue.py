@@ -156,14 +156,20 @@ def stage_wire(t: Tables) -> str:
     return path
 
 
-def fixed_weights(units: int = 32) -> dict:
-    """Repeatable weights of the right shape; none are published."""
+def fixed_weights(units: int = 32, lean: float = 0.0) -> dict:
+    """Repeatable weights of the right shape; none are published. ``lean`` shifts all raw scores."""
     draw = np.random.default_rng(7)
     shapes = {
         "w_input": (4 * units, 4), "w_hidden": (4 * units, units), "b_input": (4 * units,),
         "b_hidden": (4 * units,), "w_head": (1, units), "b_head": (1,),
     }
-    return {name: draw.normal(0, 0.3, shape).astype("float32") for name, shape in shapes.items()}
+    weights = {name: draw.normal(0, 0.3, shape).astype("float32") for name, shape in shapes.items()}
+    weights["b_head"] += np.float32(lean)
+    return weights
+
+
+#: Shift at which the fixed weights find surges in the test clicks.
+SURGING = 1.0
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -583,7 +589,7 @@ def scored_stream(t: Tables) -> str:
     """Root folder of the pricing job drained with a classifier."""
     root = scratch(t.spark, "scored")
     live = pricing_job.accepted_events(wire.stream_wire(t.spark, stage_wire(t)))
-    pricing_job.drain(pricing_job.start_pricing(live, click_serving(t), root, fixed_weights(), SPEED, once=True))
+    pricing_job.drain(pricing_job.start_pricing(live, click_serving(t), root, fixed_weights(lean=SURGING), SPEED, once=True))
     return root
 
 
@@ -598,7 +604,7 @@ def scored_price_updates(t: Tables) -> DataFrame:
     """The whole price chain in batch form: history, score, surge, uplift, price walk."""
     accepted = pricing_job.accepted_events(wire.encode_records(t.clicks().select(*TRAFFIC_RECORD.names)))
     windows = velocity.windowed_velocity(accepted, WINDOW_SECONDS)
-    history = velocity.surge_score(velocity.feature_history(windows, HISTORY_TTL), fixed_weights())
+    history = velocity.surge_score(velocity.feature_history(windows, HISTORY_TTL), fixed_weights(lean=SURGING))
     scored = written(history.drop("sequence"), "scored")
     decided = decisions.decide_prices(scored, click_serving(t), F.col("surge_prob"), WINDOW_SECONDS)
     return decisions.update_records(decided, F.unix_millis("window_end"))
