@@ -40,7 +40,7 @@ NO_ID = (1 << 64) - 1  # -1 as a varint
 #: First of the 256 code points that stand for bytes; letters, and never the blank of sentencepiece.
 BYTE_BASE = 0x0100
 #: Pieces whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def read_ranks(path: str) -> list[bytes]:

@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,7 @@ from retailflow.session import scratch
 #: Fixed value: a word is a run of characters other than the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Characters that a text function gets at once.
+#: Bytes of text that a text function gets at once.
 CHUNK = 1_000_000
 
 
@@ -52,17 +53,15 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def _chunks(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in order, in lists of at most ``CHUNK`` characters or one text."""
-    held, size = [], 0
-    for text in texts:
-        if held and size + len(text) > CHUNK:
-            yield held
-            held, size = [], 0
-        held.append(text)
-        size += len(text)
-    if held:
-        yield held
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows, in order, of at most ``CHUNK`` bytes of text or one row."""
+    begin = held = 0
+    for row, size in enumerate(pc.binary_length(texts).to_pylist()):
+        if row > begin and held + size > CHUNK:
+            yield begin, row
+            begin, held = row, 0
+        held += size
+    yield begin, len(texts)
 
 
 def map_rows(
@@ -75,8 +74,8 @@ def map_rows(
     """``keep`` columns plus ``fields`` that a function makes of the text of each row.
 
     ``start`` runs once a task and returns the function, so a model or vocabulary is set up once. The
-    function gets texts in small lists, of ``CHUNK`` characters or one text, and returns a tuple for
-    each. Null texts reach it as empty ones. Rows stream through in Arrow batches; other columns are
+    function gets texts in small lists, of ``CHUNK`` bytes or one text, and returns a tuple for each; no
+    more results than those of one list are held. Null texts reach it as empty ones. Rows stream through in Arrow batches; other columns are
     passed on untouched.
     """
     inputs = df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(column), F.lit("")).alias("__text"))
@@ -90,9 +89,10 @@ def map_rows(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [row for texts in _chunks(batch.column(width).to_pylist()) for row in function(texts)]
-            columns = [pa.array(values, f.type) for values, f in zip(zip(*rows, strict=True), made_arrow, strict=True)]
-            names = [f.name for f in schema.fields]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *columns], names)
+            for begin, end in _chunks(batch.column(width)):
+                part = batch.slice(begin, end - begin)
+                rows = function(part.column(width).to_pylist())
+                columns = [pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), made_arrow, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], *columns], [f.name for f in schema.fields])
 
     return inputs.mapInArrow(run, schema)
