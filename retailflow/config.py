@@ -23,6 +23,7 @@ MESSAGE_CHARS = 80
 class PricingConfig:
     """How far a surge may move a price."""
 
+    # The published defaults, on which results depend.
     elasticity_coeff: float = 0.35
     max_uplift_pct: float = 0.25
     surge_threshold: float = 2.0
@@ -32,6 +33,7 @@ class PricingConfig:
 class DisplayConfig:
     """How a computed price is shown."""
 
+    # The published defaults, on which results depend.
     enabled: bool = True
     charm_ending: float = 0.99
     floor_pct: float = 0.0

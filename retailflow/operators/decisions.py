@@ -21,6 +21,14 @@ from retailflow.config import (
 from retailflow.functions import pricing
 from retailflow.functions.pricefold import carry_base_prices
 
+# Texts of alerts and orders.
+LOW_STOCK_MESSAGE = "SKU %d stock %d below threshold %d"
+ORDER_SUBJECT = "[AUTO-REORDER] SKU %d low stock (%d units)"
+ORDER_BODY = (
+    "Automated reorder triggered for SKU %d. Current stock %d is below threshold %d. "
+    "Please ship %d units to restore target %d."
+)
+
 _SPEED = SpeedConfig()
 
 
@@ -142,7 +150,7 @@ def low_stock_alerts(stocked: DataFrame, event_time: Column, threshold: int = RE
         F.lit("LOW_STOCK").alias("alert_type"),
         F.col("stock").cast("int").alias("stock_level"),
         F.lit(threshold).alias("reorder_threshold"),
-        F.format_string(f"SKU %d stock %d below threshold {threshold}", "item_id", "stock").alias("message"),
+        F.format_string(LOW_STOCK_MESSAGE, "item_id", "stock", F.lit(threshold)).alias("message"),
     )
 
 
@@ -156,11 +164,9 @@ def reorders(
         F.col("item_id").alias("sku"),
         qty.alias("qty"),
         F.lit(supplier_email).alias("supplier_email"),
-        F.format_string("[AUTO-REORDER] SKU %d low stock (%d units)", "item_id", "stock_level").alias("subject"),
+        F.format_string(ORDER_SUBJECT, "item_id", "stock_level").alias("subject"),
         F.format_string(
-            "Automated reorder triggered for SKU %d. Current stock %d is below threshold "
-            f"%d. Please ship %d units to restore target {target_stock}.",
-            "item_id", "stock_level", "reorder_threshold", qty,
+            ORDER_BODY, "item_id", "stock_level", "reorder_threshold", qty, F.lit(target_stock)
         ).alias("body"),
     )
 

@@ -18,7 +18,7 @@ from retailflow.schemas import PRICE_UPDATE, SERVING, TRAFFIC_RECORD
 from retailflow.session import prepare, scratch, written
 from retailflow.sources import files, wire
 from retailflow.sources.tables import Tables
-from retailflow.streaming import pricing_job
+from retailflow.streaming import feeds, pricing_job
 
 # The test clicks are sparse: six-hour windows hold several events of an item, and a history of an
 # item ends after twelve silent hours.
@@ -646,3 +646,24 @@ def elasticity_lookup(t: Tables) -> DataFrame:
     """Related-item lists of all items bought in the click stream."""
     wanted = silver(t).where(F.col("event") == "transaction").select("item_id")
     return serving.elasticity_lookup(affinity.elasticity_lists(order_edges(t)), wanted)
+
+
+@query
+def follow_updates(t: Tables) -> DataFrame:
+    """All updates of the pricing job as a checkpointed reader gets them, in two runs."""
+    root, out, seen = (scratch(t.spark, name) for name in ("pricing", "followed", "reader"))
+    live = pricing_job.accepted_events(wire.stream_wire(t.spark, stage_wire(t)))
+    pricing_job.drain(pricing_job.start_pricing(live, click_serving(t), root, cfg=SPEED, once=True))
+    for _ in range(2):
+        feed = feeds.read_feed(t.spark, pricing_job.StreamPaths(root).updates, PRICE_UPDATE)
+        pricing_job.drain(feeds.follow(feed, out, seen, once=True))
+    return t.spark.read.schema(PRICE_UPDATE).parquet(out)
+
+
+@query
+def sales_forecast(t: Tables) -> DataFrame:
+    """Forecast of every item of the sales history: known, finite and not below zero; its value depends on the trees."""
+    path = scratch(t.spark, "model")
+    features = files.write_zone(demand.rolling_features(t.sales()), scratch(t.spark, "features"))
+    scored = demand.train_forecast(features, path)[1]
+    return scored.select("item_id", (F.col("forecast_demand") >= 0).alias("is_demand"))

@@ -16,11 +16,14 @@ from retailflow.operators.serving import merge_serving, publish_serving
 from retailflow.paths import Lake
 from retailflow.sources.files import read_bronze_events, read_item_properties, write_zone
 
-Forecaster = Callable[[DataFrame], DataFrame]
+Forecaster = Callable[[DataFrame, Lake], DataFrame]
 
 
-def boosted_forecast(features: DataFrame) -> DataFrame:
-    return train_forecast(features)[1]
+def boosted_forecast(features: DataFrame, lake: Lake) -> DataFrame:
+    """Forecasts of the boosted trees; the model and its report are kept in the gold zone."""
+    _, forecasts, report = train_forecast(features, lake.gold("forecast_model"))
+    write_zone(report, lake.gold("forecast_report"))
+    return forecasts
 
 
 def run_nightly(
@@ -41,7 +44,7 @@ def run_nightly(
     validate_silver(silver)
 
     features = write_zone(rolling_features(silver), lake.gold("features"))
-    forecast = write_zone(forecaster(features), lake.gold("forecast"))
+    forecast = write_zone(forecaster(features, lake), lake.gold("forecast"))
 
     bought = silver.where(F.col("event") == "transaction").select("visitor_id", "item_id")
     edges = write_zone(co_purchase(bought), lake.gold("co_purchase"))

@@ -518,4 +518,8 @@ WHERE reject_reason IS NOT NULL GROUP BY 1""",
         f"""SELECT item_id, CAST(arg_max(velocity, window_start) AS DOUBLE) AS velocity, '{WINDOW_LABEL}' AS velocity_window
 FROM windows GROUP BY item_id""",
     )
+    sql["follow_updates"] = sql["pricing_stream"]
+    sql["sales_forecast"] = _with(
+        [SALES, sales_features], "SELECT item_id, TRUE AS is_demand FROM sales_features WHERE label IS NULL"
+    )
     return sql

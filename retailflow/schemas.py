@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 # The contract's enumerations.
 EVENT_TYPES = ("view", "addtocart", "transaction")
-ALERT_TYPES = ("LOW_STOCK", "SURGE", "PRICE_CAP_HIT")
 
 # Property codes of the item property history.
 PROPERTY_AVAILABLE = "available"
@@ -45,17 +44,6 @@ PRICE_UPDATE = T.StructType(
     ]
 )
 
-SYSTEM_ALERT = T.StructType(
-    [
-        T.StructField("event_time", T.LongType()),
-        T.StructField("item_id", T.LongType()),
-        T.StructField("alert_type", T.StringType()),
-        T.StructField("stock_level", T.IntegerType()),
-        T.StructField("reorder_threshold", T.IntegerType()),
-        T.StructField("message", T.StringType()),
-    ]
-)
-
 SERVING = T.StructType(
     [
         T.StructField("item_id", T.LongType()),
@@ -68,5 +56,3 @@ SERVING = T.StructType(
         T.StructField("velocity_window", T.StringType()),
     ]
 )
-
-RELATED_ITEM = T.StructType([T.StructField("related", T.LongType()), T.StructField("weight", T.DoubleType())])

@@ -11,9 +11,9 @@ from retailflow.operators import decisions, velocity
 from retailflow.paths import Lake
 from retailflow.plans import nightly
 from retailflow.plans.catalogue import fixed_weights
-from retailflow.schemas import SERVING, TRAFFIC_RECORD
+from retailflow.schemas import PRICE_UPDATE, SERVING, TRAFFIC_RECORD
 from retailflow.sources import wire
-from retailflow.streaming import pricing_job
+from retailflow.streaming import feeds, pricing_job
 
 CFG = SpeedConfig()
 
@@ -69,6 +69,10 @@ def test_stream_equals_batch_and_restarts(spark, serving_rows, tmp_path):
     assert streamed["surge_prob"].tolist() == pytest.approx(closed["surge_prob"].tolist(), abs=1e-5)
     alerts, orders = spark.read.parquet(paths.alerts), spark.read.parquet(paths.orders)
     assert alerts.count() == orders.count() > 0 and orders.select("event_time", "sku").distinct().count() == orders.count()
+    for _ in range(2):  # a reader that starts again delivers nothing twice
+        feed = feeds.read_feed(spark, paths.updates, PRICE_UPDATE)
+        pricing_job.drain(feeds.follow(feed, str(tmp_path / "followed"), str(tmp_path / "reader"), once=True))
+    assert spark.read.parquet(str(tmp_path / "followed")).count() == len(streamed)
     now = {r["item_id"]: r["price"] for r in pricing_job.current_live(spark, root).collect()}
     last = closed.groupby("item_id")["new_price"].last().to_dict()
     assert now == last
