@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retailflow.config import HISTORY_STEPS, SpeedConfig
 from retailflow.functions.surgenet import surge_probabilities
@@ -13,17 +14,20 @@ from retailflow.operators.events import event_timestamp
 _SPEED = SpeedConfig()
 
 
-def windowed_velocity(
-    events: DataFrame, window_seconds: int = _SPEED.window_seconds, watermark: str = _SPEED.watermark
-) -> DataFrame:
+def with_times(events: DataFrame) -> DataFrame:
+    """Events with their time as a timestamp; a column that is one already keeps its watermark."""
+    if isinstance(events.schema["event_time"].dataType, T.TimestampType):
+        return events
+    return events.withColumn("event_time", event_timestamp(events))
+
+
+def windowed_velocity(events: DataFrame, window_seconds: int = _SPEED.window_seconds) -> DataFrame:
     """Tumbling-window counts per item and the last known price of the window.
 
     The counts and the price are partially aggregated before the only shuffle, so a hot item costs
     one row per task. Equal times are settled by event id where there is one, else by price.
     """
-    timed = events.withColumn("event_time", event_timestamp(events))
-    if timed.isStreaming:
-        timed = timed.withWatermark("event_time", watermark)
+    timed = with_times(events)
     settle = "event_id" if "event_id" in timed.columns else "price"
     seen_at = F.when(F.col("price").isNotNull(), F.struct("event_time", settle))
     return (

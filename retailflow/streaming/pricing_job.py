@@ -23,7 +23,7 @@ from retailflow.operators.decisions import (
     with_surge,
 )
 from retailflow.operators.serving import live_serving
-from retailflow.operators.velocity import windowed_velocity
+from retailflow.operators.velocity import windowed_velocity, with_times
 from retailflow.operators.monitoring import observed
 from retailflow.schemas import EVENT_TYPES, TRAFFIC_RECORD
 from retailflow.session import prepare
@@ -71,7 +71,8 @@ def priced_stream(
 ) -> DataFrame:
     """Decisions of closed windows: windowed counts, serving lookup, keyed state, presentation."""
     prepare(events.sparkSession)
-    looked_up = with_lookups(windowed_velocity(events, cfg.window_seconds, cfg.watermark), serving)
+    timely = with_times(events).withWatermark("event_time", cfg.watermark)
+    looked_up = with_lookups(windowed_velocity(timely, cfg.window_seconds), serving)
     # All but the classifier's part of the surge test is known before the state is.
     certain = with_surge(looked_up, F.lit(1.0), cfg.window_seconds, cfg.pricing)
     windows = certain.withColumnsRenamed({"is_surge": "can_surge", "uplift": "surge_uplift"})
