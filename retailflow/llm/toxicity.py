@@ -4,8 +4,8 @@ The score of a text is a logistic function of the features it has. The model is
 texts by gradient steps on three terms: the log loss; an absolute penalty that leaves most words
 without weight; and, for each labelled text with an identity term, the squared change of the raw
 score when its identity terms are swapped for others. The last term pulls the weights of group names
-together, so a neutral mention of a group is not a reason to reject. Each text also contributes a
-neutral mention: the same text with one identity term added, which must not change the score either.
+together, so a neutral mention of a group is not a reason to reject. A text without an identity term
+contributes a neutral mention: itself with one term added, which must not change the score either.
 
 Features are the words of a text, runs of letters, lower-cased, and the families of words that begin
 alike: for beginnings of three to eight letters, whether one, two or three longer words have it, which
