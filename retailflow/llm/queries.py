@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, mixing, pii, quality, secrets, sharding, simhash, sketch, toxicity, urls
+from retailflow.llm import bpe, mixing, pii, quality, secrets, setjoin, sharding, simhash, sketch, toxicity, urls
 from retailflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,9 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     out = quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return out.select("doc_id", *counts, "base_failed", "kept")
+
+
+@query
+def op11_set_similarity(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate component of every document by the chosen-path join."""
+    return setjoin.similar_documents(table(spark, folder, "documents"))
