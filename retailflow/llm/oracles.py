@@ -202,10 +202,40 @@ JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1) USING (
 """
 
 
+# Ranked search: whole numbers but for the logarithm of a weight.
+RANKED_SEARCH = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), total AS (
+  SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_words FROM docs
+), postings AS (
+  SELECT doc_id, len(w) AS n, term, count(*) AS tf FROM (SELECT doc_id, w, unnest(w) AS term FROM docs) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM postings, total GROUP BY term, n_docs
+), scores AS (
+  SELECT item_id, doc_id,
+    sum(w * q * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_words))))::BIGINT AS score
+  FROM (SELECT item_id, term, count(*) AS q FROM items GROUP BY ALL) JOIN postings USING (term) JOIN weights USING (term), total
+  GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": QUALITY_RULES,
         "op4_source_mix": SOURCE_MIX,
         "op8_url_verdicts": URL_VERDICTS,
         "op11_set_similarity": SET_SIMILARITY,
+        "op13_ranked_search": RANKED_SEARCH,
     }

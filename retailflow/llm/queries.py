@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, mixing, pii, quality, secrets, setjoin, sharding, simhash, sketch, toxicity, urls
+from retailflow.llm import bpe, mixing, pii, quality, ranking, secrets, setjoin, sharding, simhash, sketch, toxicity, urls
 from retailflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,9 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op11_set_similarity(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate component of every document by the chosen-path join."""
     return setjoin.similar_documents(table(spark, folder, "documents"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return ranking.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
