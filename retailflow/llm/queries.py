@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import bpe, mixing, pii, quality, ranking, secrets, setjoin, sharding, simhash, sketch, toxicity, urls
+from retailflow.llm import alignment, bpe, mixing, pii, quality, ranking, secrets, setjoin, sharding, simhash, sketch, toxicity, urls
 from retailflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,3 +132,17 @@ def op11_set_similarity(spark: SparkSession, folder: str) -> DataFrame:
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best documents for every benchmark item."""
     return ranking.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def tokenizer_files() -> tuple[str, str]:
+    """Paths of the byte-level vocabulary and the sentencepiece model of the alignment; ``ALIGNED_A`` and ``ALIGNED_B`` name other files."""
+    import public_tokenizers
+
+    names = {"ALIGNED_A": "byte_bpe_50k.json", "ALIGNED_B": "piece_bpe_32k.model"}
+    return tuple(os.environ.get(key) or public_tokenizers.path(name) for key, name in names.items())
+
+
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of both tokenizers' tokens in every document, with corpus-wide counts of the links."""
+    return alignment.alignment_report(table(spark, folder, "documents"), *tokenizer_files())
