@@ -19,9 +19,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text that a text function gets at once.
 CHUNK = 1_000_000
+#: Rows that Spark hands to Python at once; texts can be long.
+ROWS_AT_ONCE = 1_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the folder. The session then passes rows to Python in batches that hold few texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
@@ -56,7 +60,7 @@ def sha256_hex(data: bytes) -> str:
 def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of rows, in order, of at most ``CHUNK`` bytes of text or one row."""
     begin = held = 0
-    for row, size in enumerate(pc.binary_length(texts).to_pylist()):
+    for row, size in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
         if row > begin and held + size > CHUNK:
             yield begin, row
             begin, held = row, 0
@@ -64,6 +68,15 @@ def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
     yield begin, len(texts)
 
 
+def text_parts(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """The rows of the batches in small parts, of ``CHUNK`` bytes of text or one text, with their texts."""
+    for batch in batches:
+        if batch.num_rows:
+            texts = batch.column(batch.schema.get_field_index(column))
+            for begin, end in _chunks(texts):
+                yield batch.slice(begin, end - begin), texts.slice(begin, end - begin).to_pylist()
+
+
 def map_rows(
     df: DataFrame,
     column: str,
@@ -86,13 +99,8 @@ def map_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = start()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            for begin, end in _chunks(batch.column(width)):
-                part = batch.slice(begin, end - begin)
-                rows = function(part.column(width).to_pylist())
-                columns = [pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), made_arrow, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:width], *columns], [f.name for f in schema.fields])
+        for part, texts in text_parts(batches, "__text"):
+            columns = [pa.array(x, f.type) for x, f in zip(zip(*function(texts), strict=True), made_arrow, strict=True)]
+            yield pa.RecordBatch.from_arrays([*part.columns[:width], *columns], [f.name for f in schema.fields])
 
     return inputs.mapInArrow(run, schema)

@@ -1,43 +1,75 @@
-"""Near copies by SimHash: five-word shingles, and a verified similarity of at least 0.8.
+"""Near copies by SimHash and Golay codes: five-word shingles, and a verified similarity of at least 0.8.
 
 The similarity of two texts is the share of their distinct five-word shingles that both have. Texts
-without words have none and are alike. A text's shingle hashes are mixed into ``PRINTS`` + 1
-independent 64-bit fingerprints. A similarity of 0.8 means that about 15% of the bits differ, so
-two such texts agree in all ``KEY_BITS`` bits of a key with a chance of about 0.07, and in at least one
-of the 64 keys with 0.99 (0.85: more than 0.999). What meets by a key is compared by the last
-fingerprint, which is part of no key (at most ``RADIUS`` bits may differ: less than one pair of
-similarity 0.8 in a thousand has more), and by the number of shingles; what is left is verified by
-its shingles exactly.
-
-Groups are the components of verified pairs. Pairs are sought twice. First, a text is linked to the
-first of a bucket that is near it, which is at most one link a text and bucket. Then all near pairs
-of a bucket are taken whose texts are not yet in one component; the largest component of a bucket
-comes last and is never compared with itself. So a large group costs time in proportion to its size,
-unless very many of its pairs lie just below the similarity.
+without words have none and are alike. A text's shingle hashes are mixed into independent 64-bit
+fingerprints, of which a similarity of 0.8 leaves about 15% of the bits different. Their bits are cut
+into segments of 23; a segment is decoded to the indices of the Golay codewords that are nearest to it or to a
+string one flip away (one index or six), and each index is a key, together with some exact bits that follow the segment.
+Two segments at 15% share an index with a chance of 0.61. By the pigeonhole of errors over segments, some
+segment has few: ``layout`` takes as many exact bits as keep a bucket at about ``OCCUPANCY`` texts, so the
+keys grow with the logarithm of the table, and as many segments as bring the chance of a common key at similarity 0.8 to ``RECALL``.
+
+What meets in a bucket is compared by one fingerprint that is part of no key, then by all bits of both texts, and what is
+left is verified by its shingles exactly. Groups are the components of verified pairs. First, each
+text is verified against the nearest text it met and one more. Then the other near pairs follow that are not in one
+component yet. A bucket with very many near pairs gives only links to its first rows at first; afterwards its rows
+outside its largest component are compared with all its rows, in pieces. So a large group costs time in
+proportion to its size, and no pair of different components is left out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retailflow.llm import golay
 from retailflow.llm.common import broadcast_up_to, map_rows, stored
 from retailflow.llm.graph import components
 from retailflow.llm.simhash import BLOCK, shingle_hashes
+from retailflow.llm.verify import FEW, text_id, verified
 
-WIDTH = 5
-SIMILAR = 0.8
-PRINTS = 16
-KEY_BITS = 16
+WIDTH, PERCENT = 5, 80
+#: Share of bits that differ at similarity 0.8, and the chance that two such segments share a Golay key.
+DIFFERING, SHARED_KEY, KEYS = 0.1515, 0.605, 5.3
+RECALL, OCCUPANCY = 0.985, 256
 RADIUS = 20
-#: Pairs with one text on the left that are joined in one place.
-PIECE = 64
-#: Rows below which a table of ids is broadcast.
-FEW = 1_000_000
+#: Near pairs a row above which a bucket gives links to its first rows only, and the number of these.
+DENSE, LEADS = 8, 32
+#: Rows of a bucket that a task holds; a longer one is read in parts.
+HELD = 16_384
+#: Comparisons of a bucket that are made in one place.
+PIECE = 20_000_000
+
+
+@dataclass(frozen=True)
+class Layout:
+    segments: int
+    exact: int
+
+    @property
+    def prints(self) -> int:
+        """Fingerprints that the segments and their exact bits take, and the one for comparing."""
+        return -(-self.segments * (golay.LENGTH + self.exact) // 64) + 1
+
+    @property
+    def most_bits(self) -> int:
+        """Differing bits of all fingerprints that about one pair of similarity 0.8 in 30,000 exceeds."""
+        bits = 64 * self.prints
+        return int(bits * DIFFERING + 4 * math.sqrt(bits * DIFFERING * (1 - DIFFERING)))
+
+
+def layout(texts: int) -> Layout:
+    """Segments and exact bits for a number of distinct texts."""
+    codewords = 1 << golay.LENGTH - golay.CHECK_BITS
+    exact = max(0, math.ceil(math.log2(max(1, KEYS * texts) / (codewords * OCCUPANCY))))
+    chance = SHARED_KEY * (1 - DIFFERING) ** exact
+    return Layout(math.ceil(math.log(1 - RECALL) / math.log(1 - chance)), exact)
 
 
 def _majority(words: np.ndarray) -> np.ndarray:
@@ -74,13 +106,13 @@ def _mixed(hashes: np.ndarray, first: int, end: int) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def prints(hashes: np.ndarray) -> np.ndarray:
-    """``PRINTS`` + 1 fingerprints of distinct shingle hashes."""
-    out = np.zeros(PRINTS + 1, np.uint64)
+def prints(hashes: np.ndarray, number: int) -> np.ndarray:
+    """``number`` fingerprints of distinct shingle hashes."""
+    out = np.zeros(number, np.uint64)
     if len(hashes):
         step = max(1, BLOCK // len(hashes))
-        for k in range(0, PRINTS + 1, step):
-            end = min(PRINTS + 1, k + step)
+        for k in range(0, number, step):
+            end = min(number, k + step)
             out[k:end] = _majority(_mixed(hashes, k, end))
     return out
 
@@ -89,132 +121,214 @@ def shingle_set(text: str) -> np.ndarray:
     return np.unique(shingle_hashes(text, WIDTH))
 
 
-def _printed(text: str) -> tuple[bytes, int]:
-    hashes = shingle_set(text)
-    return prints(hashes).astype("<u8").tobytes(), len(hashes)
+def printed(docs: DataFrame, plan: Layout) -> DataFrame:
+    """[id, prints, n] of each distinct text of ``docs`` [id, text]: its fingerprints and number of shingles."""
+    number = plan.prints
+
+    def described(text: str) -> tuple:
+        hashes = shingle_set(text)
+        return prints(hashes, number).view(np.int64).tolist(), len(hashes)
 
+    start = lambda: lambda texts: [described(text) for text in texts]
+    made = map_rows(docs, "text", (("prints", "array<long>"), ("n", "int")), start, ["id"])
+    return made.groupBy("id").agg(F.max("prints").alias("prints"), F.max("n").alias("n"))
 
-def keyed(classes: DataFrame) -> DataFrame:
-    """[key, id, fp, n, root, size]: every class under each of its keys."""
+
+def segment_keys(words: np.ndarray, plan: Layout) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and keys of fingerprint rows, each key of a row once."""
+    bits = np.unpackbits(np.ascontiguousarray(words, "<u8").view(np.uint8), axis=1, bitorder="little")
+    row, key = [], []
+    for k in range(plan.segments):
+        low = k * (golay.LENGTH + plan.exact)
+        segment = bits[:, low : low + golay.LENGTH] @ (np.int64(1) << np.arange(golay.LENGTH))
+        exact = bits[:, low + golay.LENGTH : low + golay.LENGTH + plan.exact] @ (np.int64(1) << np.arange(plan.exact))
+        near = golay.keys(segment, golay.LENGTH)
+        own, place = np.nonzero(np.diff(near, axis=1, prepend=np.uint32(1 << golay.LENGTH)))
+        row.append(own)
+        key.append((np.int64(k) << plan.exact | exact[own]) << 12 | near[own, place])
+    return np.concatenate(row), np.concatenate(key)
+
+
+def keyed(classes: DataFrame, plan: Layout) -> DataFrame:
+    """[key, id, fp, n]: every class under each of its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for low in range(0, whole.num_rows, 1_000):
                 batch = whole.slice(low, 1_000)
-                words = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u8").reshape(-1, PRINTS + 1)
-                keys = np.ascontiguousarray(words[:, :-1]).view("<u2").astype(np.int32)  # KEY_BITS bits each
-                tables = keys.shape[1]
-                keys |= np.arange(tables, dtype=np.int32) << KEY_BITS
-                row = pa.array(np.repeat(np.arange(len(keys)), tables))
-                fp = pa.array(np.ascontiguousarray(words[:, -1]).view(np.int64))
-                rest = [batch.column(0), fp, *batch.columns[2:]]
+                words = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                row, key = segment_keys(words[:, :-1].astype(np.int64).view(np.uint64), plan)
+                place = pa.array(row)
+                fp = pa.array(np.ascontiguousarray(words[:, -1]).astype(np.int64)).take(place)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), *[c.take(row) for c in rest]], ["key", "id", "fp", "n", "root", "size"]
+                    [pa.array(key), batch.column(0).take(place), fp, batch.column(2).take(place)], ["key", "id", "fp", "n"]
                 )
 
-    columns = classes.select("id", "prints", "n", "root", "size")
-    return columns.mapInArrow(run, "key int, id long, fp long, n int, root long, size long")
+    return classes.select("id", "prints", "n").mapInArrow(run, "key long, id long, fp long, n int")
+
+
+def _near(fp, n, left, right) -> np.ndarray:
+    alike = np.bitwise_count(fp[left] ^ fp[right]) <= RADIUS
+    return alike & (100 * np.minimum(n[left], n[right]) >= PERCENT * np.maximum(n[left], n[right]))
+
 
+def bucket_pairs(key, fp, n) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers of near pairs of whole buckets of sorted rows, and the keys of dense buckets.
 
-def _pairs(key, ids, fp, n, root, once: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of near pairs of different roots in whole buckets of sorted rows; ``once``: one at most for the later row."""
+    Of a dense bucket each row comes with the first of the ``LEADS`` that is near it.
+    """
     new = np.r_[True, key[1:] != key[:-1]]
-    start = np.flatnonzero(new)[np.cumsum(new) - 1]
-    rows = np.arange(len(key))
-    # Rows up to the last root of a bucket lead; all later rows have that root.
-    last = np.r_[new[1:], True]
-    final = root[np.flatnonzero(last)[np.cumsum(new) - 1]]
+    bucket = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    start, most = first[bucket], DENSE * np.diff(np.r_[first, len(key)])
+    rows = np.flatnonzero(np.arange(len(key)) > start)
+    found = np.zeros(len(first), np.int64)
     left, right, place = [], [], 0
-    rows = rows[rows > start]
     while len(rows):
         lead = start[rows] + place
-        near = (np.bitwise_count(fp[lead] ^ fp[rows]) <= RADIUS) & (root[lead] != root[rows])
-        near &= np.minimum(n[lead], n[rows]) >= SIMILAR * np.maximum(n[lead], n[rows])
+        near = _near(fp, n, lead, rows)
         left.append(lead[near])
         right.append(rows[near])
         place += 1
-        stay = (rows > start[rows] + place) & (root[start[rows] + np.minimum(place, rows - start[rows])] != final[rows])
-        rows = rows[stay & ~near if once else stay]
-    return np.concatenate(left or [rows]), np.concatenate(right or [rows])
-
-
-def candidates(classes: DataFrame, once: bool) -> DataFrame:
-    """[a, b]: ids of near classes that share a key, a < b, each pair once."""
+        stay = rows > start[rows] + place
+        if near.any():
+            found += np.bincount(bucket[rows[near]], minlength=len(found))
+            if place >= LEADS:
+                stay &= (found <= most)[bucket[rows]]
+        rows = rows[stay]
+    left, right = (np.concatenate(x or [rows]) for x in (left, right))
+    dense = found > most
+    in_dense = dense[bucket[left]]
+    # Pairs come in order of the left row, so the first of a row is that of its first near lead.
+    leads = np.flatnonzero(in_dense & (left - start[left] < LEADS))
+    leads = leads[np.unique(right[leads], return_index=True)[1]]
+    chosen = np.concatenate([np.flatnonzero(~in_dense), leads])
+    return left[chosen], right[chosen], key[first[dense]]
+
+
+def bucket_links(rows: DataFrame) -> DataFrame:
+    """[a, b, key]: near pairs of ``rows`` (of ``keyed``) that share a bucket, a < b; rows with a key name dense buckets."""
+
+    def out(ids, left, right, dense):
+        a, b = np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right])
+        pairs = np.unique(np.stack([a, b]), axis=1)
+        ends = [pa.concat_arrays([pa.array(x), pa.nulls(len(dense), pa.int64())]) for x in pairs]
+        keys = pa.concat_arrays([pa.nulls(pairs.shape[1], pa.int64()), pa.array(np.asarray(dense, np.int64))])
+        return pa.RecordBatch.from_arrays([*ends, keys], ["a", "b", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(columns):
-            key, ids, fp, n, root = columns
-            a, b = _pairs(key, ids, fp.view(np.uint64), n.astype(np.int64), root, once)
-            a, b = ids[a], ids[b]
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
-
-        waiting: list[list[np.ndarray]] = []
+        held = [np.zeros(0, np.int64)] * 4  # key, id, fp, n of rows that wait for the end of their bucket
+        long_bucket = None  # the key of a bucket that did not fit, of which only the first rows are held
         for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if not len(columns[0]):
-                continue
-            if waiting and waiting[0][0][-1] == columns[0][-1]:
-                waiting.append(columns)  # a bucket longer than a batch
-                continue
-            whole = [np.concatenate(x) for x in zip(*waiting, columns, strict=True)]
-            cut = np.searchsorted(whole[0], whole[0][-1])
-            if cut:
-                yield out([x[:cut] for x in whole])
-            waiting = [[x[cut:] for x in whole]]
-        if waiting:
-            yield out([np.concatenate(x) for x in zip(*waiting, strict=True)])
-
-    rows = keyed(classes).repartition("key").sortWithinPartitions("key", "size", "root", "id")
-    return rows.select("key", "id", "fp", "n", "root").mapInArrow(run, "a long, b long").distinct()
-
-
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The ``pairs`` whose texts in ``docs`` [id, text] have a similarity of at least ``SIMILAR``."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "paired")
-    texts = docs.join(broadcast_up_to(ids, FEW), "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
-    start = lambda: lambda texts: [(shingle_set(text).tobytes(),) for text in texts]
-    sets = stored(map_rows(texts, "text", (("grams", "binary"),), start, ["id"]), "sets")
-    # A text with very many pairs is met in as many pieces.
-    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias("pieces")).where("pieces > 1")
-    many = stored(many, "many")
-    pieces = F.coalesce("pieces", F.lit(1))
-    dealt = pairs.join(broadcast_up_to(many, FEW), "a", "left").select(
-        "a", "b", F.pmod(F.xxhash64("b"), pieces).cast("int").alias("piece")
+            fresh = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            held = [np.concatenate(x) for x in zip(held, fresh, strict=True)]
+            while len(held[0]):
+                cut = int(np.searchsorted(held[0], held[0][-1]))
+                if long_bucket is not None and held[0][0] == long_bucket:
+                    stop = int(np.searchsorted(held[0], long_bucket, "right"))
+                    lead, rest = np.arange(min(LEADS, stop)), np.arange(min(LEADS, stop), stop)
+                    left, right = (x.ravel() for x in np.meshgrid(lead, rest, indexing="ij"))
+                    near = _near(held[2].view(np.uint64), held[3], left, right)
+                    left, right = left[near], right[near]
+                    once = np.unique(right, return_index=True)[1]
+                    yield out(held[1], left[once], right[once], [])
+                    if stop == len(held[0]):
+                        held = [x[:LEADS] for x in held]
+                        break
+                    held, long_bucket = [x[stop:] for x in held], None
+                elif cut:
+                    done = [x[:cut] for x in held]
+                    left, right, dense = bucket_pairs(done[0], done[2].view(np.uint64), done[3])
+                    yield out(done[1], left, right, dense)
+                    held = [x[cut:] for x in held]
+                elif len(held[0]) > HELD:
+                    long_bucket = held[0][0]
+                    yield out(held[1], np.zeros(0, int), np.zeros(0, int), [long_bucket])
+                else:
+                    break
+        if len(held[0]) and (long_bucket is None or held[0][0] != long_bucket):
+            left, right, dense = bucket_pairs(held[0], held[2].view(np.uint64), held[3])
+            yield out(held[1], left, right, dense)
+
+    ordered = rows.repartition("key").sortWithinPartitions("key", "id")
+    return ordered.select("key", "id", "fp", "n").mapInArrow(run, "a long, b long, key long")
+
+
+def _distance(left: str, right: str) -> Column:
+    """Differing bits of all fingerprints."""
+    return F.aggregate(
+        F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda total, x: total + x
     )
-    lefts = sets.withColumnRenamed("id", "a").join(broadcast_up_to(many, FEW), "a", "left")
-    lefts = lefts.select("a", F.col("grams").alias("left"), F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"))
-    rights = sets.select(F.col("id").alias("b"), F.col("grams").alias("right"))
-    both = dealt.join(lefts, ["a", "piece"]).join(rights, "b").select("a", "b", "left", "right")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(common >= SIMILAR * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+def _near_pairs(pairs: DataFrame, classes: DataFrame, plan: Layout) -> DataFrame:
+    """[a, b, d]: the ``pairs`` [a, b] whose fingerprints are near as a whole, with the differing bits."""
+    sides = [classes.select(F.col("id").alias(c), F.col("prints").alias(f"p_{c}")) for c in ("a", "b")]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", _distance("p_a", "p_b").alias("d"))
+    return both.where(F.col("d") <= plan.most_bits)
+
+
+def first_tries(near: DataFrame) -> DataFrame:
+    """[a, b]: of the ``near`` pairs [a, b, d] the nearest of every text, and another one picked by a hash."""
+    ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")), F.struct(F.col("b").alias("id"), F.col("a").alias("other"))))
+    each = near.select(ends.alias("e"), "d").select("e.*", "d")
+    best = each.groupBy("id").agg(
+        F.min_by("other", F.struct("d", "other")).alias("nearest"), F.min_by("other", F.xxhash64("id", "other")).alias("another")
+    )
+    tries = best.select("id", F.explode(F.array("nearest", "another")).alias("other"))
+    return tries.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
+def outsider_pairs(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """[a, b]: near pairs of different components in the buckets of ``rows`` [key, id, fp, n].
+
+    Of such a pair one text at least is outside the largest component of the bucket: these are compared
+    with all rows of the bucket, in pieces.
+    """
+    known = rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    known = stored(known, "dense_rows")
+    cells = known.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    sizes = cells.groupBy("key").agg(F.sum("c").alias("size"), F.max(F.struct("c", "root")).alias("most"))
+    outside = F.col("size") - F.col("most.c")
+    pieces = F.greatest(F.ceil(outside * F.col("size") / PIECE), F.lit(1)).cast("int")
+    mixed = stored(
+        sizes.where(outside > 0).select("key", F.col("most.root").alias("largest"), pieces.alias("pieces")), "mixed"
+    )
+    placed = stored(known.join(mixed, "key"), "placed")
+    left = placed.where("root != largest").withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
+    right = placed.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    once = (F.col("r.root") == F.col("r.largest")) | (F.col("l.id") < F.col("r.id"))
+    near = F.expr(
+        f"bit_count(l.fp ^ r.fp) <= {RADIUS} AND 100 * least(l.n, r.n) >= {PERCENT} * greatest(l.n, r.n)"
+    )
+    same = (F.col("l.key") == F.col("r.key")) & (F.col("l.piece") == F.col("r.piece"))
+    met = left.alias("l").join(right.alias("r"), same & (F.col("l.root") != F.col("r.root")) & once & near)
+    return met.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
+
+
+def _roots(links: DataFrame, name: str) -> DataFrame:
+    return stored(components(links).withColumnRenamed("node", "id"), name)
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """[text_hash, group] of every distinct text that has near copies; the group is the smallest hash in it."""
-    rows = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("id"), "text")
-    start = lambda: lambda texts: [_printed(text) for text in texts]
-    made = map_rows(rows, "text", (("prints", "binary"), ("n", "int")), start, ["id"])
-    classes = stored(made.groupBy("id").agg(F.max("prints").alias("prints"), F.max("n").alias("n")), "classes")
-    alone = classes.withColumns({"root": F.col("id"), "size": F.lit(1).cast("long")})
-    tried = stored(candidates(alone, True), "tried")
-    links = stored(verified(tried, rows), "links")
-    roots = stored(components(links), "roots")
-    sizes = stored(roots.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "sizes")
-    named = stored(roots.join(sizes, "root").withColumnRenamed("node", "id"), "named")
-    joined = classes.join(named, "id", "left").select(
-        "id", "prints", "n", F.coalesce("root", "id").alias("root"), F.coalesce("size", F.lit(1).cast("long")).alias("size")
-    )
-    rest = stored(candidates(stored(joined, "joined"), False).join(tried, ["a", "b"], "left_anti"), "rest")
-    more = stored(verified(rest, rows), "more")
-    found = components(links.unionByName(more))
-    return found.select(F.col("node").alias("text_hash"), F.col("root").alias("group"))
+    rows = docs.select(text_id(F.col("text")).alias("id"), "text")
+    plan = layout(rows.agg(F.approx_count_distinct("id", 0.01)).first()[0])
+    classes = stored(printed(rows, plan), "classes")
+    met = stored(bucket_links(keyed(classes, plan)), "met")
+    pairs = met.where("key IS NULL").select("a", "b").distinct()
+    near = stored(_near_pairs(pairs, classes, plan), "near")
+    tried = stored(first_tries(near), "tried")
+    links = stored(verified(tried, rows, shingle_set, PERCENT), "links")
+    roots = _roots(links, "roots")
+    sides = [roots.select(F.col("id").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b")]
+    apart = near.join(sides[0], "a", "left").join(sides[1], "b", "left")
+    apart = apart.where("NOT coalesce(root_a, a) = coalesce(root_b, b)").select("a", "b")
+    dense = stored(met.where("key IS NOT NULL").select("key").distinct(), "dense")
+    if not dense.isEmpty():
+        again = keyed(classes, plan).join(broadcast_up_to(dense, FEW), "key", "left_semi")
+        more = outsider_pairs(again, roots)
+        apart = apart.unionByName(_near_pairs(more, classes, plan).select("a", "b")).distinct()
+    rest = stored(apart.join(tried, ["a", "b"], "left_anti"), "rest")
+    found = _roots(links.unionByName(stored(verified(rest, rows, shingle_set, PERCENT), "more")), "groups")
+    return found.select(F.col("id").alias("text_hash"), F.col("root").alias("group"))

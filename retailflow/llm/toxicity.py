@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailflow.llm.common import map_rows, stored
+from retailflow.llm.common import map_rows, stored, text_parts
 
 MOST_TRAINED = 12_000
 VOCABULARY = 1_024
@@ -165,14 +165,18 @@ def held_out(doc_id):
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINED) -> DataFrame:
     """[words, label] of the labelled documents outside the held-out fold, at most about ``most``.
 
-    The labels chosen are a bounded table and are broadcast, so text is not shuffled.
+    The labels chosen are a bounded table and are broadcast, so only texts of these documents are shuffled.
+    An id that repeats gives one text, the one of smallest hash, so it weighs no more than others and the
+    rows are no more than the labels.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("label"))
     known = stored(known.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))), "labels")
     share = min(1.0, most / max(1, known.count()))
     chosen = F.broadcast(known.where(F.col("place") < int(share * (1 << 30))).select("doc_id", "label"))
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "label")
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label")
+    )
     start = lambda: lambda texts: [(sorted(features_of(text)),) for text in texts]
     return map_rows(rows, "text", (("words", "array<string>"),), start, ["label"])
 
@@ -222,9 +226,8 @@ def without_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """The documents with a score below one half, unchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([model.score(text or "") < 0.5 for text in texts], pa.bool_()))
+        for part, texts in text_parts(batches, "text"):
+            yield part.filter(pa.array([model.score(text or "") < 0.5 for text in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
