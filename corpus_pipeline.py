@@ -7,7 +7,7 @@ Extra columns ride along.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailflow.llm import bpe, mixing, nearcopies, secrets, toxicity
@@ -23,20 +23,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: that of the smallest id, then of the smallest text hash.
 
-    Groups are the components of texts whose five-word shingles are alike by 0.8 or more. Documents meet the chosen ids by id and text hash, so a group of any size is spread over all
-    tasks; of rows that repeat both one stays.
+    Groups are the components of texts whose five-word shingles are alike by 0.8 or more, found by Golay keys
+    of SimHash fingerprints. Documents meet the chosen ids by id and text hash, so a group of any size is
+    spread over all tasks. Of rows that repeat both one stays: only such rows are aggregated, all others
+    pass as they are read.
     """
-    ids = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")).distinct()
+    marked = docs.withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    ids = marked.groupBy("doc_id", F.col("__hash").alias("text_hash")).agg(F.count(F.lit(1)).alias("n"))
     groups = stored(nearcopies.near_copies(docs), "groups")
     grouped = stored(ids, "ids").join(groups, "text_hash", "left")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-    chosen = grouped.groupBy(F.coalesce("group", "text_hash").alias("group")).agg(F.min(order).alias("first"))
-    chosen = stored(chosen.select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__text")), "chosen")
-    marked = docs.withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    chosen = grouped.groupBy(F.coalesce("group", "text_hash").alias("group")).agg(F.min_by(F.struct("doc_id", "text_hash", "n"), order).alias("first"))
+    chosen = stored(chosen.select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__text"), F.col("first.n").alias("__n")), "chosen")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__text"))
-    kept = marked.join(chosen, same, "left_semi")
-    turn = F.row_number().over(Window.partitionBy("doc_id", "__hash").orderBy(F.lit(0)))
-    return kept.withColumn("__turn", turn).where("__turn = 1").select(*[kept[c] for c in docs.columns])
+    columns = [marked[c] for c in docs.columns]
+    kept = marked.join(chosen.where("__n = 1"), same, "left_semi").select(*columns)
+    repeated = chosen.where("__n > 1")
+    if repeated.isEmpty():
+        return kept
+    row = F.struct(*[marked[c] for c in docs.columns])
+    rows = marked.join(repeated, same, "left_semi").select("doc_id", "__hash", row.alias("__row"))
+    one = rows.groupBy("doc_id", "__hash").agg(F.first("__row").alias("__row"))
+    return kept.unionByName(one.select("__row.*"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
