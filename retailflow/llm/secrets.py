@@ -1,10 +1,15 @@
 """Secret scan by character Markov models of random strings and of ordinary identifiers.
 
-Three fixed rules find secrets with a telling form. Beyond them, every long token is scored by two
-first-order character models, one of random strings and one of ordinary identifiers; a token whose
-log-likelihood ratio exceeds the calibrated bound is a secret of kind ``random``. The models are
+Three fixed rules find secrets with a telling form. Beyond them, every token of twelve characters or more
+that stands alone is scored by two first-order character models, one of random strings and one of
+ordinary identifiers; a token whose log-likelihood ratio, summed over its characters, exceeds the
+bound is a secret of kind ``random``. Under the ordinary model a ratio of r is exceeded with a chance
+of at most 1/r, so the bound log(1 / false share) holds at every length. The models are
 trained from labelled samples: any table of (sample, is_secret) will do. ``samples_of`` labels a
-corpus by the rules: what a rule found is a random string, words around it are identifiers.
+corpus by the rules: what a rule found is a random string, and tokens around it are ordinary if they are made of
+letters, of digits, or of letters and then digits, joined by signs: words, names, dates, paths. What
+mixes letters and digits otherwise is neither. ``UNIFORM`` adds what strings drawn evenly from the usual
+alphabets would count, so that secrets of a kind that no rule knows are not strange to the model.
 Transitions are counted over all documents; the counts are bounded by the square of the alphabet, so
 only they reach the driver.
 
@@ -18,13 +23,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailflow.llm.common import map_rows, sha256_hex
+from retailflow.llm.common import map_rows, sha256_hex, text_parts
 
 # Fixed patterns of the rules; values shorter than the number beside them are dropped.
 ASSIGN = re.compile(
@@ -36,10 +42,37 @@ ACCESS_LENGTH = 20
 HEX = re.compile(r"[0-9a-f]{24,}")  # a run of 24 starts where the whole run does
 KINDS = ("assign", "access", "hex", "random")
 
-#: Tokens that the models judge: letters, digits and signs of encodings.
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: Words that stand for ordinary identifiers when a corpus labels itself.
-ORDINARY = re.compile(r"[^\W\d][\w-]{7,}")
+#: Tokens that the models judge: letters, digits and signs of encodings, with no other letter beside them.
+TOKEN = re.compile(r"(?<![\w+/=-])[A-Za-z0-9+/_=-]{12,}(?![\w+/=-])")
+#: Tokens that may stand for ordinary identifiers when a corpus labels itself, and what they are made of.
+SAMPLE = re.compile(r"(?<![\w+/=-])[A-Za-z0-9+/_=-]{6,}(?![\w+/=-])")
+_PART = r"(?:[A-Za-z]+[0-9]*|[0-9]+)"
+ORDINARY = re.compile(rf"[-_/+=]*{_PART}(?:[-_/+=]+{_PART})*[-_/+=]*")
+
+#: Alphabets of random strings, and how many characters, in strings of 32, each of them adds.
+UNIFORM = (
+    "0123456789abcdef",
+    "0123456789ABCDEF",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "0123456789abcdefghijklmnopqrstuvwxyz",
+    "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ-_",
+)
+UNIFORM_CHARACTERS, UNIFORM_LENGTH = 50_000, 32
+
+#: How often ordinary identifiers go on in each class of characters, whatever the words: rows and columns
+#: are digits, lower case, upper case, signs, edge. The share of it in the ordinary model keeps words that
+#: the samples lack from looking random.
+CHANGES = np.array(
+    [
+        [0.70, 0.04, 0.02, 0.12, 0.12],
+        [0.03, 0.85, 0.02, 0.05, 0.05],
+        [0.03, 0.45, 0.44, 0.04, 0.04],
+        [0.12, 0.40, 0.18, 0.25, 0.05],
+        [0.12, 0.55, 0.25, 0.08, 0.00],
+    ]
+)
+CHANGES_SHARE = 0.3
 
 # Symbols of the models: digits, letters by case, some signs; 64 stands for all else, 65 for the edge.
 _SYMBOLS = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ_-"
@@ -75,29 +108,47 @@ class RandomnessModel:
     bound: float
 
     def score(self, token: str) -> float:
-        """Log-likelihood ratio a character."""
+        """Log-likelihood ratio of the whole token."""
         symbols = encoded(token)
-        return float(self.ratio[symbols[:-1] * SIZE + symbols[1:]].mean())
+        return float(self.ratio[symbols[:-1] * SIZE + symbols[1:]].sum())
+
+
+def uniform_counts() -> np.ndarray:
+    """Expected transitions of the strings of ``UNIFORM``, flat."""
+    counts = np.zeros((SIZE, SIZE))
+    for alphabet in UNIFORM:
+        own = _CODE[np.frombuffer(alphabet.encode(), np.uint8)]
+        strings = UNIFORM_CHARACTERS / UNIFORM_LENGTH
+        counts[np.ix_(own, own)] += strings * (UNIFORM_LENGTH - 1) / len(own) ** 2
+        counts[EDGE, own] += strings / len(own)
+        counts[own, EDGE] += strings / len(own)
+    return counts.ravel()
 
 
-def _log_probabilities(counts: np.ndarray, smoothing: float) -> np.ndarray:
+def _probabilities(counts: np.ndarray, smoothing: float) -> np.ndarray:
     """Transitions backed off to symbol frequencies, those to equal chances."""
     square = counts.reshape(SIZE, SIZE).astype(float)
     single = square.sum(axis=0) + smoothing
     single /= single.sum()
-    return np.log((square + smoothing * single * SIZE) / (square.sum(axis=1, keepdims=True) + smoothing * SIZE)).ravel()
+    return (square + smoothing * single * SIZE) / (square.sum(axis=1, keepdims=True) + smoothing * SIZE)
+
+
+def _changes() -> np.ndarray:
+    """Transitions of ``CHANGES``, even inside a class."""
+    kind = np.repeat([0, 1, 2, 3, 4], [10, 26, 26, 3, 1])
+    return CHANGES[kind[:, None], kind[None, :]] / np.bincount(kind)[kind][None, :]
 
 
 def train(counts: dict[bool, np.ndarray], smoothing: float = 0.5, false_share: float = 1e-6) -> RandomnessModel:
     """The model of transition counts of random (True) and ordinary (False) samples.
 
-    The bound is such that an ordinary token of the shortest judged length passes with a chance of at
-    most ``false_share``: a likelihood ratio of r is exceeded under the ordinary model with a chance
-    of at most 1/r.
+    The bound is such that an ordinary token passes with a chance of at most ``false_share`` under its model.
     """
-    empty = np.zeros(SIZE * SIZE, np.int64)
-    logs = {kind: _log_probabilities(counts.get(kind, empty), smoothing) for kind in (True, False)}
-    return RandomnessModel(logs[True] - logs[False], -np.log(false_share) / 21)
+    empty = np.zeros(SIZE * SIZE)
+    random = _probabilities(counts.get(True, empty) + uniform_counts(), smoothing)
+    ordinary = (1 - CHANGES_SHARE) * _probabilities(counts.get(False, empty), smoothing) + CHANGES_SHARE * _changes()
+    ordinary[EDGE, EDGE] = random[EDGE, EDGE]  # no token is empty
+    return RandomnessModel(np.log(random / ordinary).ravel(), -np.log(false_share))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -109,13 +160,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def random_spans(text: str, base: list[tuple[int, int, int]], model: RandomnessModel) -> list[tuple[int, int, int]]:
-    """Spans that the models add, clear of ``base``."""
-    out = []
+    """Spans that the models add, clear of ``base``; tokens and spans are walked together."""
+    out, at, covered = [], 0, -1
     for m in TOKEN.finditer(text):
         start, end = m.span()
-        if any(a < end and start < b for a, _, b in base):
-            continue
-        if model.score(m[0]) > model.bound:
+        while at < len(base) and base[at][0] < end:
+            covered = max(covered, base[at][2])
+            at += 1
+        if covered <= start and model.score(m[0]) > model.bound:
             out.append((start, 3, end))
     return out
 
@@ -136,8 +188,9 @@ def samples_of(text: str) -> Iterator[tuple[str, bool]]:
         plain.append(text[at:start])
         at = max(at, end)
     plain.append(text[at:])
-    for word in ORDINARY.findall(" ".join(plain)):
-        yield word, False
+    for token in SAMPLE.findall(" ".join(plain)):
+        if ORDINARY.fullmatch(token):
+            yield token, False
 
 
 def corpus_counts(docs: DataFrame, text: str = "text") -> dict[bool, np.ndarray]:
@@ -145,13 +198,12 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> dict[bool, np.ndarray]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, SIZE * SIZE), np.int64)
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                samples: dict[bool, list[str]] = {True: [], False: []}
-                for sample, secret in samples_of(value or ""):
-                    samples[secret].append(sample)
-                for secret, found in samples.items():
-                    total[int(secret)] += transitions(found)
+        for _, texts in text_parts(batches, text):
+            samples: dict[bool, list[str]] = {True: [], False: []}
+            for sample, secret in chain.from_iterable(samples_of(value or "") for value in texts):
+                samples[secret].append(sample)
+            for secret, found in samples.items():
+                total[int(secret)] += transitions(found)
         secret, pair = np.nonzero(total)
         columns = [pa.array(secret == 1), pa.array(pair, pa.int32()), pa.array(total[secret, pair])]
         yield pa.RecordBatch.from_arrays(columns, ["secret", "pair", "n"])
@@ -221,10 +273,10 @@ def mask_secrets(docs: DataFrame, model: RandomnessModel) -> DataFrame:
     """The documents with secrets masked and ``n_chars`` counted anew; null texts stay null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts = [None if x is None else masked(x, model) for x in batch.column(at).to_pylist()]
-            yield batch.set_column(at, "text", pa.array(texts, batch.schema.field(at).type))
+        for part, texts in text_parts(batches, "text"):
+            at = part.schema.get_field_index("text")
+            clean = [None if x is None else masked(x, model) for x in texts]
+            yield part.set_column(at, "text", pa.array(clean, part.schema.field(at).type))
 
     clean = docs.mapInArrow(run, docs.schema)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean

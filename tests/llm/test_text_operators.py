@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -155,6 +156,35 @@ def test_secret_models(spark, odd_docs, no_docs):
         assert clean.where("text LIKE '%f3ef4d6b%'").count() == 0
 
 
+def test_random_strings_are_found_at_every_length(spark):
+    """Models trained on a corpus that labels itself: recall by length, and ordinary tokens left alone."""
+    r = random.Random(6)
+    words = "customer order total amount index value record window price update list threshold between without question".split()
+    hexed = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    rows = [(k, " ".join(r.choice(words) for _ in range(40)) + (f" token = {hexed(40)}" if k % 5 == 0 else "")) for k in range(300)]
+    model = secrets.train(secrets.corpus_counts(spark.createDataFrame(rows, "doc_id long, text string")))
+    alphabets = {n: a for n, a in zip(("hex", "base32", "base62", "url"), (secrets.UNIFORM[k] for k in (0, 2, 4, 5)), strict=True)}
+    for name, alphabet in alphabets.items():
+        for length, least in ((12, 0.4), (16, 0.8), (20, 0.9), (32, 0.98), (64, 1.0)):
+            found = sum(model.score("".join(r.choice(alphabet) for _ in range(length))) > model.bound for _ in range(300))
+            assert found >= least * 300, (name, length)
+    ordinary = ["-".join(r.choices(words, k=4)) for _ in range(500)] + ["/".join(r.choices(words, k=5)) for _ in range(500)]
+    ordinary += [f"{r.choice(words)}_{r.choice(words)}_{r.randrange(10**6)}" for _ in range(500)]
+    assert sum(model.score(t) > model.bound for t in ordinary) <= 1
+
+
+def test_secret_spans_of_a_long_text_in_linear_time():
+    model = secrets.train({False: secrets.transitions(["customer", "order", "total", "amount", "between"] * 200)})
+    part = "token = abcdef0123456789 word 0123456789abcdef0123456789abcdef x9Kf2LqP8vTz4RwYc1Bn "
+    times = []
+    for n in (2_000, 16_000):
+        started = time.perf_counter()
+        base, every = secrets.all_spans(part * n, model)
+        times.append(time.perf_counter() - started)
+        assert len(base) == 2 * n and len(every) >= 3 * n - 1
+    assert len(part) * 16_000 > 1_000_000 and times[1] < 8 * 3 * times[0]
+
+
 def brute_pii(text):
     luhn = lambda d: sum((x if i % 2 == 0 else 2 * x - 9 * (x > 4)) for i, x in enumerate(map(int, reversed(d)))) % 10 == 0
     only = lambda s: re.sub("[^0-9]", "", s)
