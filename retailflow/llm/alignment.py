@@ -32,7 +32,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import chain, groupby
 from operator import itemgetter
 
 import numpy as np
@@ -54,9 +54,11 @@ SPILL, BLOCK, SLICE = 1_000_000, 65_536, 4_000_000
 ROW = 500_000
 #: Pairs whose counts are broadcast, at most 16 bytes each.
 FEW_PAIRS = 2_000_000
-#: Pieces of text that a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 100_000
+#: Pieces of text after which a worker starts to forget those that it has not seen since the last time.
+REMEMBERED = 150_000
 A_BITS = 16
+#: Fixed value: the pre-token pattern of a byte-level vocabulary.
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_characters() -> dict[str, int]:
@@ -70,28 +72,53 @@ class Aligner:
     """Both tokenizers of a worker and the pieces it remembers.
 
     ``known`` has for each piece the numbers of tokens of A and B, the groups as text, and the links as
-    numbers ``b << A_BITS | a``; None stands for a piece that does not come out as its own bytes.
+    numbers ``b << A_BITS | a``; None stands for a piece that does not come out as its own bytes. A
+    vocabulary whose ids are the order of its merges is a list of ranks, and is encoded as such.
     """
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         of = byte_characters()
         with open(path_a, encoding="utf-8") as lines:
-            vocabulary = json.load(lines)["model"]["vocab"]
+            read = json.load(lines)
+        added = {x["id"] for x in read["added_tokens"]}
+        vocabulary = {token: number for token, number in read["model"]["vocab"].items() if number not in added}
         self.a_bytes = {number: bytes(of[c] for c in token) for token, number in vocabulary.items()}
+        self.encode_a = self._by_rank(read, vocabulary) or self._by_merges(path_a)
+        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(k) for k in range(self.b.vocab_size())]
         self.b_bytes = [self._piece_bytes(p) for p in pieces]
         if max(max(self.a_bytes) >> A_BITS, len(pieces) >> 31 - A_BITS):
             raise ValueError("too many ids")
+        self.a_length = {number: len(token) for number, token in self.a_bytes.items()}
+        self.b_length = [len(p) for p in self.b_bytes]
         whole = any(re.search(f"[^{BLANK}]{BLANK}", p) for p in pieces)
         self.cut = (lambda text: [text]) if whole else re.compile(r" (?<=\S )(?=\S)").split
         self.known: dict[str, tuple[int, int, str, tuple[int, ...]] | None] = {}
+        self.older: dict = {}
+
+    def _by_rank(self, read: dict, vocabulary: dict[str, int]):
+        """The encoder of a plain byte-level file whose ids are ranks; None for any other."""
+        before, model = read["pre_tokenizer"] or {}, read["model"]
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        plain = plain and not read["normalizer"] and not model.get("dropout") and not model.get("ignore_merges")
+        if not plain or any(vocabulary.get("".join(m)) != 256 + k for k, m in enumerate(merges)):
+            return None
+        import tiktoken
+
+        ranks = {token: number for number, token in self.a_bytes.items()}
+        return tiktoken.Encoding("a", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    @staticmethod
+    def _by_merges(path: str):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
     @staticmethod
     def _piece_bytes(piece: str) -> bytes:
@@ -100,53 +127,57 @@ class Aligner:
 
     def _aligned(self, piece: str, a_ids: list[int], b_ids: list[int]):
         data = b" " + piece.encode()
-        a_parts, b_parts = [self.a_bytes.get(i, b"") for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        if b"".join(a_parts) != data or b"".join(b_parts) != data:
+        if b"".join([self.b_bytes[i] for i in b_ids]) != data or b"".join([self.a_bytes[i] for i in a_ids]) != data:
             return None
+        a_length, b_length = self.a_length, self.b_length
         groups, links = [], []
-        i = j = a_end = b_end = from_a = from_b = 0
-        while i < len(a_ids):
-            a_end += len(a_parts[i])
-            i += 1
+        j = a_end = b_end = from_a = from_b = 0
+        for i, a in enumerate(a_ids, 1):
+            a_end += a_length[a]
             while b_end < a_end:
-                b_end += len(b_parts[j])
+                b = b_ids[j]
+                b_end += b_length[b]
                 j += 1
             if a_end == b_end:
-                groups.append(f"{','.join(map(str, a_ids[from_a:i]))}|{','.join(map(str, b_ids[from_b:j]))}")
-                links.append(b_ids[j - 1] << A_BITS | a_ids[i - 1])
+                if i - from_a == 1 and j - from_b == 1:
+                    groups.append(f"{a}|{b}")
+                else:
+                    groups.append(f"{','.join(map(str, a_ids[from_a:i]))}|{','.join(map(str, b_ids[from_b:j]))}")
+                links.append(b << A_BITS | a)
                 from_a, from_b = i, j
         return len(a_ids), len(b_ids), ";".join(groups), tuple(links)
 
-    def learn(self, pieces: list[str]) -> None:
-        if pieces:
-            a = self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)
-            b = self.b.encode(pieces, num_threads=1)
-            self.known.update((p, self._aligned(p, x.ids, y)) for p, x, y in zip(pieces, a, b, strict=True))
+    def learn(self, pieces: set[str]) -> None:
+        """Align the pieces that are not known."""
+        known, older = self.known, self.older
+        if len(known) > REMEMBERED:
+            self.known, self.older = known, older = {}, known
+        missing = []
+        for p in pieces:
+            if p not in known:
+                if p in older:
+                    known[p] = older[p]
+                else:
+                    missing.append(p)
+        encode = self.encode_a
+        for p, b_ids in zip(missing, self.b.encode(missing, num_threads=1) if missing else [], strict=True):
+            known[p] = self._aligned(p, encode(" " + p), b_ids)
 
     def align(self, texts: list[str]) -> list[tuple]:
         """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text."""
         cut = [self.cut(text) if text else [] for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        self.learn(set(chain.from_iterable(cut)))
         known = self.known
-        self.learn(list({p for pieces in cut for p in pieces if p not in known}))
         return [self._row([known[p] for p in pieces]) for pieces in cut]
 
     @staticmethod
     def _row(parts: list) -> tuple:
         if not parts or None in parts:
             return 0, 0, 0, 0, "", [], []
-        pairs = Counter(code for part in parts for code in part[3])
-        n = pairs.total()
-        return (
-            sum(p[0] for p in parts),
-            sum(p[1] for p in parts),
-            n,  # every group ends with one link
-            n,
-            ";".join([p[2] for p in parts]),
-            list(pairs),
-            list(pairs.values()),
-        )
+        n_a, n_b, groups, links = zip(*parts, strict=True)
+        pairs = Counter(chain.from_iterable(links))
+        n = pairs.total()  # every group ends with one link
+        return sum(n_a), sum(n_b), n, n, ";".join(groups), list(pairs), list(pairs.values())
 
 
 @lru_cache(maxsize=1)

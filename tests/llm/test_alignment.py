@@ -9,9 +9,14 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tokenizers import Tokenizer
+
 from retailflow.llm import alignment
 from retailflow.llm.queries import tokenizer_files
 
+PLAIN = Tokenizer.from_file(tokenizer_files()[0])
+PLAIN.encode_special_tokens = True
+
 
 @pytest.fixture(scope="module")
 def tools():
@@ -20,7 +25,7 @@ def tools():
 
 def whole(tools, text):
     """(a ids, b ids, groups) of a text without any cut; None where bytes differ."""
-    a = tools.a.encode(" " + text, add_special_tokens=False).ids
+    a = PLAIN.encode(" " + text, add_special_tokens=False).ids
     b = tools.b.encode(text)
     a_parts, b_parts = [tools.a_bytes.get(i, b"") for i in a], [tools.b_bytes[i] for i in b]
     data = b" " + text.encode()
@@ -60,6 +65,20 @@ def test_cut_texts_come_out_as_whole_ones(tools):
         assert dict(zip(row[5], row[6], strict=True)) == links
 
 
+def test_both_encoders_agree(tools):
+    merges = alignment.Aligner._by_merges(tokenizer_files()[0])
+    assert tools.encode_a.__name__ == "encode_ordinary"
+    assert all(merges(" " + t) == tools.encode_a(" " + t) for t in odd_texts())
+
+
+def test_forgotten_pieces_are_learnt_again(monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 5)
+    tools, texts = alignment.Aligner(*tokenizer_files()), odd_texts()[:60]
+    rows = tools.align(texts)
+    assert [tools.align([t])[0] for t in texts] == rows
+    assert len(tools.known) < 200
+
+
 def brute(tools, rows):
     found = [whole(tools, text or "") for _, text in rows]
     links = [[(x[-1], y[-1]) for x, y in f[2]] if f else [] for f in found]

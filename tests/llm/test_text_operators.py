@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from retailflow.llm import bpe, pii, quality, secrets, toxicity
 from retailflow.llm.common import WORD
@@ -224,6 +225,61 @@ def test_personal_data_trees_add_spans(spark):
     assert text.first()["text"] == "é mail [private] or [private] x"
 
 
+def planted_personal_data(r):
+    """(texts that teach, texts with one planted span each and its generator, texts without personal data)."""
+    digits = lambda n: "".join(str(r.randrange(10)) for _ in range(n))
+    name = lambda: r.choice(["anna", "bert", "carla", "dmitri", "eve"]) + r.choice([".", "_"]) + r.choice(["berg", "kovac", "lima"])
+    mac = lambda: ":".join(f"{r.randrange(256):02x}" for _ in range(6))
+    phone = lambda: f"({digits(3)}) {digits(3)}-{digits(4)}"
+    teach = []
+    for _ in range(150):
+        teach += [f"{r.choice(['please call', 'try', 'it was'])} +1 {phone()} today", f"write to {name()}@mail{digits(1)}.org please", f"follow user @{name()} there", f"the device {mac()} is on"]
+    planted = []
+    for _ in range(20):
+        planted += [
+            ("number", f"she said 1 {phone()} twice"),
+            ("address", f"so {name()} (at) mail{digits(1)}.org it is"),
+            ("handle", f"then @{name()} laughed"),
+            ("device", f"seen {mac()} nearby"),
+        ]
+    clean = [f"order {digits(9)} shipped" for _ in range(150)] + [f"scores {r.randrange(9)}:{r.randrange(9)}:{r.randrange(9)}:{r.randrange(9)} at half time" for _ in range(150)]
+    return teach, planted, clean
+
+
+def test_planted_personal_data_is_added(spark):
+    """Spans without the mark that rules ask for, and of kinds without a rule: recall by generator, clean texts left alone."""
+    teach, planted, clean = planted_personal_data(random.Random(12))
+    texts = teach + clean + [t for _, t in planted]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(docs).collect()}
+    first = len(teach) + len(clean)
+    found = Counter(kind for k, (kind, _) in enumerate(planted) if spans[first + k].startswith(kind + ":"))
+    assert all(found[kind] >= 0.9 * 20 for kind in pii.GENERATORS), found
+    assert not any(spans[k] for k in range(len(teach), first))
+
+
+def test_personal_data_of_a_long_text_in_linear_time(spark):
+    part = "mail a.b@c.org or +1 (017) 555-7713 then 12345678 or @name_1 and 1:2:3:4:5 12.13.14.15 "
+    times = []
+    for n in (500, 3_000, 12_000):
+        docs = spark.createDataFrame([(1, part * n)], "doc_id long, text string")
+        started = time.perf_counter()
+        row = pii.find_personal_data(docs).first()
+        times.append(time.perf_counter() - started)
+        assert (row["n_email"], row["n_phone"], row["n_ip"]) == (n, n, n)
+    assert len(part) * 12_000 > 1_000_000 and times[2] < 3 * 4 * times[1]
+
+
+def test_spans_that_meet(spark):
+    r = random.Random(15)
+    spans = [(row, s, s + r.randrange(1, 12), r.randrange(-1, 3)) for row in range(40) for s in r.sample(range(60), 12)]
+    table = spark.createDataFrame([(*x, k) for k, x in enumerate(spans)], "row long, start int, end int, kind int, number int")
+    found = table.withColumn("met", pii._meets(F.col("kind") == -1)).collect()
+    for x in found:
+        others = [y for k, y in enumerate(spans) if k != x["number"] and y[0] == x["row"] and y[3] == -1]
+        assert x["met"] == any(a < x["end"] and x["start"] < b for _, a, b, _ in others)
+
+
 def test_toxicity_held_out_accuracy(spark):
     r = random.Random(8)
     plain = ["river", "stone", "cloud", "garden", "letter", "market", "winter", "music", "bread", "silver"]
