@@ -45,11 +45,11 @@ JOIN cells c ON c.source IS NOT DISTINCT FROM d.source AND c.place = d.place
 """
 
 
-# URL models: every order keeps contexts of one in 2,048 characters, and the longest kept one counts.
+# URL models: every order keeps contexts seen four times or more, and the longest kept one counts.
 def _url_model(order: int) -> str:
     context = f"substr(gram, {5 - order}, {order})" if order else "''"
     if order:
-        kept = "WHERE yes + no >= greatest(1.0, seen / 2048)"
+        kept = "WHERE yes + no >= 4"
         lower = f"(SELECT {{0}} FROM model{order - 1} m WHERE m.context = substr(f.context, 2) AND m.symbol = f.symbol)"
     else:
         kept, lower = "", "1.0 / 42"
@@ -59,7 +59,7 @@ cells{order} AS (
     sum(CASE label WHEN 0 THEN n ELSE 0 END)::DOUBLE AS no
   FROM counted GROUP BY 1, 2
 ), kept{order} AS (
-  SELECT * FROM (SELECT context, sum(yes) AS yes, sum(no) AS no FROM cells{order} GROUP BY 1), total {kept}
+  SELECT * FROM (SELECT context, sum(yes) AS yes, sum(no) AS no FROM cells{order} GROUP BY 1) {kept}
 ), model{order} AS (
   SELECT f.context, f.symbol, (coalesce(c.yes, 0) + 4 * {lower.format("p_yes")}) / (f.yes + 4) AS p_yes,
     (coalesce(c.no, 0) + 4 * {lower.format("p_no")}) / (f.no + 4) AS p_no
@@ -102,8 +102,6 @@ WITH rests AS (
   SELECT label, gram, sum(n) AS n FROM (
     SELECT label, n, substr('^^^^' || text || '$', unnest(range(1, length(text) + 2)), 5) AS gram
     FROM texts WHERE label IS NOT NULL AND NOT held) GROUP BY 1, 2
-), total AS (
-  SELECT coalesce(sum(n), 0) AS seen FROM counted
 ), {"".join(map(_url_model, range(5)))}
 grams AS (
   SELECT text, substr('^^^^' || text || '$', unnest(range(1, length(text) + 2)), 5) AS gram FROM (SELECT DISTINCT text FROM texts)

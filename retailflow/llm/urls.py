@@ -3,15 +3,16 @@
 A rule is a host, a path prefix and a verdict. It fits a URL of its host or any subdomain whose path
 begins with the prefix, and the longest rule that fits decides. URLs that no rule decides are judged
 by two smoothed variable-order Markov models of characters, one trained on accepted and one on
-rejected URLs. A context is kept where it makes up at least ``LEAST_SHARE`` of the training
-characters, which bounds each order to ``1 / LEAST_SHARE`` contexts whatever the input; a character is
+rejected URLs. A context is kept where training saw it ``LEAST_SEEN`` times or more, so what the models know
+grows with the input; a character is
 scored in the longest kept context, whose estimate is backed off to the next shorter one. The score is
 the mean log-likelihood difference a character, and the bound is calibrated on URLs held out of
 training: it rejects at most ``FALSE_REJECTED`` of the accepted ones.
 
 URLs are reduced to host and path, lower-cased, with characters outside a fixed alphabet taken as one
-symbol. Each distinct text is scored once. Everything is SQL functions on narrow rows; the model is
-a table of bounded size and is broadcast.
+symbol. Each distinct text is scored once, and each distinct character with its context has its ratio computed
+once. Everything is SQL functions on narrow rows; counts of contexts are broadcast only where they
+are counted to be few, else joined by shuffle.
 
 Null URLs and URLs without ``://`` have an empty host and path, fit no rule and score 0. Without
 accepted or rejected samples the models do not differ, all scores are 0 and everything is accepted.
@@ -25,14 +26,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailflow.llm.common import stored
+from retailflow.llm.common import broadcast_up_to, stored
 
 ORDER = 4
-LEAST_SHARE = 1 / 2_048
+LEAST_SEEN = 4
 PRIOR = 4.0  # weight of the shorter context in characters
 FALSE_REJECTED = 0.01
 HELD_OUT = 5  # every fifth text calibrates
 STEPS = 100  # calibration steps to a unit of score
+FEW = 200_000  # rows up to which a table of the models is broadcast
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SYMBOLS = "abcdefghijklmnopqrstuvwxyz0123456789./-_"
@@ -90,60 +92,63 @@ def grams(texts: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def train(samples: DataFrame, least_share: float = LEAST_SHARE) -> list[DataFrame]:
-    """Tables [context, symbol, ratio] by order, 0 first, from samples [text, label, n]: label 1 accepted.
+def _context(order: int) -> Column:
+    return F.expr(f"substring(gram, {ORDER - order + 1}, {order})") if order else F.lit("")
 
-    ``ratio`` is the log of accepted over rejected chance. Each order holds every symbol of every
-    kept context, so at most ``len(ALPHABET) / least_share`` rows.
+
+def train(samples: DataFrame, least_seen: int = LEAST_SEEN) -> list[tuple[DataFrame, DataFrame]]:
+    """Counts by order, 0 first, from samples [text, label, n], label 1 accepted.
+
+    For each order the kept contexts [context, all_yes, all_no] and the cells [context, symbol, yes, no].
     """
     counted = stored(
         grams(samples, "label", "n").groupBy("label", "gram").agg(F.sum("n").alias("n")),
         "grams",
     )
-    seen = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    symbols = F.explode(F.array(*map(F.lit, ALPHABET)))
-    tables: list[DataFrame] = []
+    tables = []
     for order in range(ORDER + 1):
-        context = F.expr(f"substring(gram, {ORDER - order + 1}, {order})") if order else F.lit("")
-        cells = counted.groupBy(context.alias("context"), F.expr(f"substring(gram, {ORDER + 1}, 1)").alias("symbol")).agg(
-            F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("yes"),
-            F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("no"),
+        cells = counted.groupBy(_context(order).alias("context"), F.expr(f"substring(gram, {ORDER + 1}, 1)").alias("symbol")).agg(
+            F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).cast("double").alias("yes"),
+            F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).cast("double").alias("no"),
         )
         cells = stored(cells, f"cells{order}")
-        kept = cells.groupBy("context").agg(F.sum("yes").alias("all_yes"), F.sum("no").alias("all_no"))
-        if order:
-            kept = kept.where(F.col("all_yes") + F.col("all_no") >= max(1.0, least_share * seen))
-        full = kept.select("*", symbols.alias("symbol")).join(cells, ["context", "symbol"], "left")
-        full = full.withColumns({c: F.coalesce(c, F.lit(0)).cast("double") for c in ("yes", "no")})
+        known = cells.groupBy("context").agg(F.sum("yes").alias("all_yes"), F.sum("no").alias("all_no"))
         if order:
-            # A kept context's own suffix is at least as frequent, so it is kept as well.
-            shorter = tables[-1].select(F.col("context").alias("suffix"), "symbol", "p_yes", "p_no")
-            full = full.withColumn("suffix", F.expr("substring(context, 2)")).join(F.broadcast(shorter), ["suffix", "symbol"])
-        else:
-            even = F.lit(1.0 / len(ALPHABET))
-            full = full.withColumns({"p_yes": even, "p_no": even})
-        estimate = {
-            f"p_{c}": (F.col(c) + PRIOR * F.col(f"p_{c}")) / (F.col(f"all_{c}") + PRIOR) for c in ("yes", "no")
-        }
-        # Both are taken from the old columns at once.
-        full = full.withColumns(estimate).select(
-            "context", "symbol", "p_yes", "p_no", F.log(F.col("p_yes") / F.col("p_no")).alias("ratio")
-        )
-        tables.append(stored(full, f"model{order}"))
+            known = known.where(F.col("all_yes") + F.col("all_no") >= least_seen)
+        tables.append((stored(known, f"contexts{order}"), cells))
     return tables
 
 
-def scores(texts: DataFrame, model: list[DataFrame]) -> DataFrame:
+def ratios(wanted: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """[gram, ratio] of the distinct grams ``wanted``: log of accepted over rejected chance, to nine decimals.
+
+    The chance in a context is backed off to that in the next shorter one, whose own suffix is kept wherever
+    it is; where a context is not kept, the shorter one stands.
+    """
+    even = F.lit(1.0 / len(ALPHABET))
+    rows = wanted.select("gram", F.expr(f"substring(gram, {ORDER + 1}, 1)").alias("symbol"), even.alias("p_yes"), even.alias("p_no"))
+    for order, (known, cells) in enumerate(model):
+        rows = rows.withColumn("context", _context(order))
+        rows = rows.join(broadcast_up_to(known, FEW), "context", "left")
+        rows = rows.join(broadcast_up_to(cells, FEW), ["context", "symbol"], "left")
+        seen = {c: F.coalesce(c, F.lit(0.0)) for c in ("yes", "no")}
+        chance = {
+            f"p_{c}": F.when(F.col(f"all_{c}").isNull(), F.col(f"p_{c}")).otherwise(
+                (seen[c] + PRIOR * F.col(f"p_{c}")) / (F.col(f"all_{c}") + PRIOR)
+            )
+            for c in ("yes", "no")
+        }
+        rows = rows.withColumns(chance).select("gram", "symbol", "p_yes", "p_no")
+    return rows.select("gram", F.round(F.log(F.col("p_yes") / F.col("p_no")), 9).alias("ratio"))
+
+
+def scores(texts: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """[text, score] of distinct texts: the mean log ratio a character, to six decimals."""
-    rows = grams(texts, "text")
-    for order, known in enumerate(model):
-        side = known.select(F.col("context").alias(f"c{order}"), F.col("symbol").alias(f"s{order}"), F.col("ratio").alias(f"r{order}"))
-        same = (F.expr(f"substring(gram, {ORDER - order + 1}, {order})") == F.col(f"c{order}")) & (
-            F.expr(f"substring(gram, {ORDER + 1}, 1)") == F.col(f"s{order}")
-        )
-        rows = rows.join(F.broadcast(side), same, "left")
-    longest = F.coalesce(*[F.col(f"r{order}") for order in reversed(range(len(model)))], F.lit(0.0))
-    mean = F.sum(F.round(longest, 9)) / F.count(F.lit(1))
+    spread = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = grams(texts.repartition(spread, "text"), "text")
+    known = stored(ratios(stored(rows.select("gram").distinct(), "wanted"), model), "ratios")
+    rows = rows.join(broadcast_up_to(known, FEW), "gram")
+    mean = F.sum("ratio") / F.count(F.lit(1))
     return rows.groupBy("text").agg(F.when(F.col("text") == "", 0.0).otherwise(F.round(mean, 6)).alias("score"))
 
 
