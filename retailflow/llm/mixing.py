@@ -4,12 +4,13 @@ Every source gets a target number of words. A document is taken ``floor(target /
 and once more if its hash lies below the threshold of its source. Thresholds are found without
 sorting: words are summed by source and hash bucket, the bucket in which the running sum passes the
 budget is the boundary, and only its documents are summed again by the next bits of the hash. After
-``LEVELS`` levels the boundary bucket is one part in 2^36; it is taken whole if that brings the
-source nearer to its budget. Hashes do not depend on budgets, so the documents of a smaller budget
-are among those of a larger one.
+``LEVELS`` levels the boundary bucket is one part in 2^36: one document, or rows that repeat it. Its rows
+are taken one by one, smaller ones first, as long as more than half of the next one is due, so a source
+ends within half a document of its budget. Only these rows are counted and numbered. Hashes do not depend on
+budgets, so the documents of a smaller budget are among those of a larger one.
 
 The hash is the MD5 digest of the document id and text, so equal inputs give equal mixes on every
-run. Rows that repeat both have one hash and are taken or left together. Null ids, sources and texts
+run; which of the rows that repeat both are taken makes no difference. Null ids, sources and texts
 are values like any other; a null text has size 0. An empty table gives an empty mix. Sources without
 words have target 0 and documents without words follow their source's thresholds.
 
@@ -23,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retailflow.llm.common import broadcast_up_to, stored, word_count
 
@@ -92,7 +94,8 @@ def _cell(level: int) -> Column:
 
 
 def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """[source, source_size, target, times, below]: whole passes, and the hash below which one more is taken."""
+    """[source, source_size, target, times, below, due]: whole passes, the hash below which one more is taken, and
+    the words that are still due there."""
     size = F.greatest(F.col("source_size"), F.lit(1))
     plan = targets.withColumn("times", F.floor(F.col("target") / size))
     plan = plan.withColumns({"due": F.col("target") - F.col("times") * F.col("source_size"), "bucket": F.lit(0).cast("long")})
@@ -120,17 +123,47 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
             F.coalesce("edge.cell", F.lit(1 << BITS * (level + 1)).cast("long")).alias("bucket"),
             F.col("edge.words").alias("words"),
         )
-    whole = F.coalesce(2 * F.col("due") > F.col("words"), F.lit(False))
-    return plan.select("source", "source_size", "target", "times", (F.col("bucket") + whole.cast("long")).alias("below"))
+    return plan.select("source", "source_size", "target", "times", F.col("bucket").alias("below"), "due")
+
+
+def edge_groups(edge: DataFrame, keys: list[str], first: list[str]) -> DataFrame:
+    """Rows at the boundary of their source, counted, with the part of each group that is taken once more.
+
+    ``edge`` has [source, due, size] and the columns named. Rows with equal ``keys`` that one task reads are a group [keys...,
+    first..., n, more]: ``n`` rows, of which ``more`` are taken. Groups are small enough for one task and
+    their order does not need the columns ``first``.
+    """
+    counted = edge.withColumn("__part", F.spark_partition_id()).groupBy(*keys, "source", "due", "size", "__part")
+    groups = counted.agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in first])
+    groups = stored(groups.withColumn("__group", F.monotonically_increasing_id()), "edge")
+    words = F.col("n") * F.col("size")
+    order = Window.partitionBy("source").orderBy("size", *[k for k in keys if k == "doc_id"], "__group")
+    before = F.sum(words).over(order) - words
+    # A row is taken where more than half of it is due; a row without words where anything or nothing is left over.
+    left = F.col("due") - before
+    more = F.when(F.col("size") == 0, F.when(left >= 0, F.col("n")).otherwise(0)).otherwise(
+        F.least(F.greatest(F.ceil(left / F.greatest("size", F.lit(1)) - 0.5), F.lit(0)), F.col("n"))
+    )
+    taken = groups.select("__group", "source", "due", "size", "n", *[k for k in keys if k == "doc_id"]).select("__group", more.cast("long").alias("more"))
+    return groups.join(taken, "__group").drop("__group", "__part", "due")
+
+
+def _planned(rows: DataFrame, **law) -> DataFrame:
+    """[s, source_size, target, times, below, due] by source, ready to join."""
+    plan = stored(thresholds(rows, source_targets(rows, **law)), "thresholds")
+    return broadcast_up_to(plan.withColumnRenamed("source", "s"), FEW_SOURCES)
 
 
 def mixed(rows: DataFrame, **law) -> DataFrame:
     """``rows`` (of ``sized``, stored) with [source_size, target, copies]."""
-    plan = stored(thresholds(rows, source_targets(rows, **law)), "thresholds")
-    plan = broadcast_up_to(plan.withColumnRenamed("source", "s"), FEW_SOURCES)
-    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("s")))
+    joined = rows.join(_planned(rows, **law), F.col("source").eqNullSafe(F.col("s")))
+    out = ["doc_id", "source", "size", "place", "source_size", "target", "copies"]
     copies = F.col("times") + (F.col("place") < F.col("below")).cast("long")
-    return joined.select("doc_id", "source", "size", "place", "source_size", "target", copies.alias("copies"))
+    inner = joined.where("place != below").withColumn("copies", copies).select(out)
+    edge = edge_groups(joined.where("place = below"), ["doc_id", "place", "source_size", "target", "times"], [])
+    number = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("number")
+    edge = edge.select("*", number).withColumn("copies", F.col("times") + (F.col("number") <= F.col("more")).cast("long"))
+    return inner.unionByName(edge.select(out))
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
@@ -142,13 +175,32 @@ def mix_report(docs: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of ``docs``.
 
-    Thresholds join the documents as they are read, so text is not shuffled.
+    Thresholds join the documents as they are read, so text is not shuffled, but for one text of each group at
+    the boundary of a source. Rows of such a group that differ in other columns stay apart.
     """
-    rows = stored(sized(docs), "sized")
-    plan = stored(thresholds(rows, source_targets(rows)), "thresholds")
-    plan = broadcast_up_to(plan.select(F.col("source").alias("__s"), F.col("times").alias("__times"), F.col("below").alias("__below")), FEW_SOURCES)
-    copies = F.col("__times") + (hash36(F.col("doc_id"), F.col("text")) < F.col("__below")).cast("long")
-    joined = docs.join(plan, docs["source"].cast("string").eqNullSafe(F.col("__s")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times") + 1))).where(
-        F.col("__copy") <= copies
-    ).select(*[docs[c] for c in docs.columns])
+    plan = _planned(stored(sized(docs), "sized"))
+    plan = plan.select(*[F.col(c).alias(f"__{c}") for c in ("s", "times", "below", "due")])
+    place = hash36(F.col("doc_id"), F.col("text"))
+    joined = docs.join(plan, docs["source"].cast("string").eqNullSafe(F.col("__s"))).withColumn("__place", place)
+    copies = F.col("__times") + (F.col("__place") < F.col("__below")).cast("long")
+    inner = joined.where("__place != __below")
+    inner = inner.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times") + 1))).where(F.col("__copy") <= copies)
+    # Names of their own keep the columns of the documents apart from those of the groups.
+    plain = {f"__c{k}": c for k, c in enumerate(docs.columns)}
+    simple = [k for k, c in plain.items() if c not in ("doc_id", "text") and isinstance(docs.schema[c].dataType, T.AtomicType)]
+    others = [k for k, c in plain.items() if k not in simple and c != "doc_id"]
+    named = joined.where("__place = __below").select(
+        *[docs[c].alias(k) for k, c in plain.items()],
+        docs["doc_id"].alias("doc_id"),
+        F.xxhash64("text").alias("__hash"),
+        F.col("__s").alias("source"),
+        F.col("__due").alias("due"),
+        F.col("__times").alias("times"),
+        word_count(docs["text"]).alias("size"),
+    )
+    own = [k for k, c in plain.items() if c == "doc_id"]
+    edge = edge_groups(named, [*own, *simple, "doc_id", "__hash", "times"], others)
+    every = F.col("n") * F.col("times") + F.col("more")
+    edge = edge.where(every > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), every)))
+    edge = edge.select(*[F.col(k).alias(c) for k, c in plain.items()])
+    return inner.select(*[docs[c] for c in docs.columns]).unionByName(edge)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 WORDS = r"len(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'))"
 
-# A mix takes the documents of a source in order of hash until the next one would pass the budget;
+# A mix takes the rows of a source in order of hash and size until the next one would pass the budget;
 # that one is taken too if more than half of it fits. Shares of capped sources go to the others round
 # by round.
 SOURCE_MIX = rf"""
@@ -30,18 +30,14 @@ WITH RECURSIVE docs AS (
   FROM rounds WHERE n = 40
 ), plan AS (
   SELECT *, floor(target / greatest(source_size, 1)) AS times FROM targets
-), sums AS (
-  SELECT source, place, sum(size) AS words FROM docs GROUP BY source, place
-), cells AS (
-  SELECT p.source, s.place, p.target - p.times * p.source_size AS due, s.words,
-    sum(s.words) OVER (PARTITION BY p.source ORDER BY s.place) AS upto
-  FROM sums s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
+), placed AS (
+  SELECT d.*, p.source_size, p.target, p.times, p.target - p.times * p.source_size AS due,
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY place, d.size, doc_id ROWS UNBOUNDED PRECEDING) - d.size AS before
+  FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 )
-SELECT d.doc_id, d.size, p.source_size, p.target,
-  (d.size * (p.times + CASE WHEN c.upto <= c.due OR (c.upto - c.words <= c.due AND 2 * (c.due - (c.upto - c.words)) > c.words)
-    THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
-JOIN cells c ON c.source IS NOT DISTINCT FROM d.source AND c.place = d.place
+SELECT doc_id, size, source_size, target,
+  (size * (times + CASE WHEN before + size <= due OR (before <= due AND 2 * (due - before) > size) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM placed
 """
 
 

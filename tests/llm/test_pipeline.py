@@ -59,15 +59,13 @@ def brute_mix(rows):
     for s in sources:
         times = math.floor(target[s] / max(1, total[s]))
         due = target[s] - times * total[s]
-        groups = {}
-        for row in (r for r in rows if r[2] == s):
-            groups.setdefault(place(row[0], row[1]), []).append(row)
-        for _, group in sorted(groups.items()):
-            words = sum(size(r[1]) for r in group)
-            more = words <= due or 2 * due > words
-            due = due - words if words <= due else -1.0
-            for row in group:
-                out[row[:2]] += times + more
+        before = 0
+        own = [r for r in rows if r[2] == s]
+        for row in sorted(own, key=lambda r: (place(r[0], r[1]), size(r[1]))):
+            words = size(row[1])
+            more = before + words <= due or (before <= due and 2 * (due - before) > words)
+            before += words
+            out[row[:2]] += times + more
     return +out
 
 

@@ -155,6 +155,26 @@ def test_mix_targets_and_takes(spark, odd_docs, no_docs):
     assert mixing.mix_documents(odd_docs).columns == odd_docs.columns and mixing.mix_documents(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("repeats", [1_500, 1])
+def test_mix_meets_its_target_where_rows_repeat(spark, repeats):
+    """One document in three repeats: each source ends within half a document of its target, copies as well."""
+    r = random.Random(3)
+    rows = [(i, "w " * r.randrange(1, 60), f"s{i % 3}", i) for i in range(3_000)]
+    rows += [(5, "v " * 50, "s0", k % 4) for k in range(repeats)] + [(6, "", "s0", 0)] * repeats + [(7, None, "s1", 0)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int")
+    out = mixing.mix_report(docs).toPandas()
+    assert len(out) == len(rows)
+    by_size = out.groupby("source_size")
+    for _, part in by_size:
+        assert abs(part["taken"].sum() - part["target"].iloc[0]) <= 0.5 * part["size"].max()
+    assert (out["taken"] <= 2 * out["size"]).all()
+    mixed = mixing.mix_documents(docs)
+    assert mixed.columns == docs.columns
+    words = {k: v for k, v in mixed.groupBy("doc_id").agg(F.sum(F.size(F.split(F.trim("text"), " +")))).collect()}
+    taken = out.groupby("doc_id")["taken"].sum()
+    assert all(words.get(d, 0) == t for d, t in taken.items() if d not in (6, 7))
+
+
 def test_smaller_budget_is_nested(spark):
     docs = spark.createDataFrame([(i, "w " * (i % 40 + 1), "s") for i in range(2000)], "doc_id long, text string, source string")
     rows = mixing.sized(docs)
