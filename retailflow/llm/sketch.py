@@ -4,8 +4,9 @@ A shingle is five words, and its hash is kept if it is among the lowest ``1 / SC
 numbers. Which hashes are kept does not depend on the document, so sketches of parts merge by union
 and the share of kept hashes that two sketches have in common estimates containment even between a
 paragraph and a book. Text that keeps no hash has only its smallest hash, which is marked by being
-above the threshold; two texts of which one is such are compared by their smallest hashes alone,
-whose equality is as likely as their resemblance. The smallest hash is kept by every merge.
+above the threshold; the resemblance of two texts of which one is such is that of their smallest hashes,
+whose equality is as likely as their resemblance, and how much of it another text contains cannot be said (null)
+unless those are equal. A merge keeps the smallest hash as long as it has none below the threshold.
 
 A sketch is a string of hexadecimal groups in ascending order, one per hash. Null and empty texts
 have the empty sketch; two empty sketches are alike (1), an empty and another are not (0). Equal
@@ -33,7 +34,7 @@ from retailflow.llm.common import sha256_hex, stored
 from retailflow.llm.simhash import shingle_hashes
 
 WIDTH = 5
-SCALE = 8
+SCALE = 4
 DIGITS = 12  # hexadecimal digits kept of a hash: 48 bits
 #: Rows of one range; the number of ranges grows with the table up to ``MOST_RANGES``.
 RANGE_ROWS = 1_000
@@ -57,14 +58,16 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return kept if len(kept) else hashes[:1]
 
 
-def compare(a: np.ndarray, b: np.ndarray) -> tuple[float, float, float]:
+def compare(a: np.ndarray, b: np.ndarray) -> tuple[float, float | None, float | None]:
     """Resemblance of two sketches, and how much of the first and of the second the other contains."""
     if not len(a) or not len(b):
         same = float(len(a) == len(b))
         return same, same, same
     if a[0] >= THRESHOLD or b[0] >= THRESHOLD:
-        same = float(a[0] == b[0])
-        return same, same, same
+        if a[0] == b[0]:
+            return 1.0, 1.0, 1.0
+        # What keeps hashes is not contained in what keeps none.
+        return 0.0, *(None if own[0] >= THRESHOLD else 0.0 for own in (a, b))
     common = len(np.intersect1d(a, b, assume_unique=True))
     return common / (len(a) + len(b) - common), common / len(a), common / len(b)
 
@@ -88,12 +91,13 @@ def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def containment(left: Column, right: Column) -> Column:
-    """Share of the first sketch's text that the second's contains; null where a sketch is null."""
+    """Share of the first sketch's text that the second's contains; null where a sketch is null or says nothing."""
 
     @F.pandas_udf("double")
     def share(a: pd.Series, b: pd.Series) -> pd.Series:
         rows = zip(a, b, strict=True)
-        return pd.Series([None if x is None or y is None else compare(from_text(x), from_text(y))[1] for x, y in rows])
+        found = [None if x is None or y is None else compare(from_text(x), from_text(y))[1] for x, y in rows]
+        return pd.Series(found, dtype="float64")
 
     return share(left, right)
 
@@ -121,7 +125,8 @@ def _describe(rows: list[tuple]) -> pd.DataFrame:
         digest = sha256_hex(edited.encode())
         out.append((doc_id, len(text), digest, as_text(own), as_text(changed), near_edited, near_next, in_edited, in_next))
     columns = [x.split()[0] for x in FIELDS.split(", ")]
-    return pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
+    types = {"doc_id": "Int64", "contained_in_edited": "float64", "contained_in_next": "float64"}
+    return pd.DataFrame(out, columns=columns).astype(types)
 
 
 def range_starts(docs: DataFrame) -> list[int | None]:
