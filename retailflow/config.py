@@ -48,6 +48,7 @@ class SpeedConfig:
     history_ttl_seconds: int = 2 * 60 * 60
     max_records_per_trigger: int = 10_000
     max_files_per_trigger: int = 16
+    deduplicate: bool = False  # drop events that arrive again within the watermark
     pricing: PricingConfig = field(default_factory=PricingConfig)
     display: DisplayConfig = field(default_factory=DisplayConfig)
     reorder_threshold: int = REORDER_THRESHOLD

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from retailflow.schemas import PRICE_UPDATE, SERVING, TRAFFIC_RECORD
 from retailflow.session import prepare, scratch, written
 from retailflow.sources import files, wire
 from retailflow.sources.tables import Tables
-from retailflow.streaming import feeds, pricing_job
+from retailflow.streaming import feeds, metrics, pricing_job
 
 # The test clicks are sparse: six-hour windows hold several events of an item, and a history of an
 # item ends after twelve silent hours.
@@ -98,24 +99,13 @@ def click_graph(t: Tables) -> DataFrame:
     return edges.join(named, "item_id", "left")
 
 
-_PUBLISHED: dict[tuple[str, str], str] = {}
-
-
 def click_serving(t: Tables) -> DataFrame:
-    """Serving rows from the click forecast, click graph and property history.
-
-    They are published once for a session and folder; the queries that follow from them read the table.
-    """
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _PUBLISHED:
-        properties = t.item_properties()
-        rows = serving.publish_serving(
-            click_forecast(t), click_graph(t), demand.build_inventory(properties), demand.build_catalog_price(properties)
-        )
-        path = scratch(t.spark, "serving")
-        rows.write.parquet(path)
-        _PUBLISHED[key] = path
-    return t.spark.read.schema(SERVING).parquet(_PUBLISHED[key])
+    """Serving rows from the click forecast, click graph and property history, published anew for each query."""
+    properties = t.item_properties()
+    rows = serving.publish_serving(
+        click_forecast(t), click_graph(t), demand.build_inventory(properties), demand.build_catalog_price(properties)
+    )
+    return written(rows, "serving")
 
 
 def conversion_share():
@@ -582,7 +572,7 @@ def pricing_stream(t: Tables) -> DataFrame:
     root = scratch(t.spark, "pricing")
     live = pricing_job.accepted_events(wire.stream_wire(t.spark, stage_wire(t)))
     pricing_job.drain(pricing_job.start_pricing(live, click_serving(t), root, cfg=SPEED, once=True))
-    return t.spark.read.parquet(pricing_job.StreamPaths(root).updates).drop("batch_id")
+    return pricing_job.committed(t.spark, root, "updates")
 
 
 def scored_stream(t: Tables) -> str:
@@ -596,7 +586,7 @@ def scored_stream(t: Tables) -> str:
 @query
 def scored_pricing_stream(t: Tables) -> DataFrame:
     """Wire files drained by the pricing job with a classifier; equal to the batch form in closed windows."""
-    return t.spark.read.parquet(pricing_job.StreamPaths(scored_stream(t)).updates).drop("batch_id")
+    return pricing_job.committed(t.spark, scored_stream(t), "updates")
 
 
 @query
@@ -613,7 +603,7 @@ def scored_price_updates(t: Tables) -> DataFrame:
 @query
 def stream_orders(t: Tables) -> DataFrame:
     """Orders that the pricing job writes for the low-stock alerts of its batches."""
-    return t.spark.read.parquet(pricing_job.StreamPaths(scored_stream(t)).orders).drop("batch_id")
+    return pricing_job.committed(t.spark, scored_stream(t), "orders")
 
 
 @query
@@ -655,9 +645,36 @@ def follow_updates(t: Tables) -> DataFrame:
     live = pricing_job.accepted_events(wire.stream_wire(t.spark, stage_wire(t)))
     pricing_job.drain(pricing_job.start_pricing(live, click_serving(t), root, cfg=SPEED, once=True))
     for _ in range(2):
-        feed = feeds.read_feed(t.spark, pricing_job.StreamPaths(root).updates, PRICE_UPDATE)
-        pricing_job.drain(feeds.follow(feed, out, seen, once=True))
-    return t.spark.read.schema(PRICE_UPDATE).parquet(out)
+        pricing_job.drain(feeds.follow(t.spark, root, "updates", PRICE_UPDATE, out, seen, once=True))
+    return feeds.followed(t.spark, out, PRICE_UPDATE)
+
+
+@query
+def deduplicated_stream(t: Tables) -> DataFrame:
+    """Every record sent twice, interleaved, through the job that drops repeats: the updates of one delivery."""
+    path, root = scratch(t.spark, "wire"), scratch(t.spark, "deduplicated")
+    events = t.clicks().select(*TRAFFIC_RECORD.names).distinct()  # what the key cannot tell apart is one event
+    wire.encode_records(events.unionAll(events).repartition(8, "visitor_id")).write.parquet(path)
+    live = pricing_job.accepted_events(wire.stream_wire(t.spark, path))
+    once = replace(SPEED, deduplicate=True)
+    pricing_job.drain(pricing_job.start_pricing(live, click_serving(t), root, cfg=once, once=True))
+    return pricing_job.committed(t.spark, root, "updates")
+
+
+@query
+def stream_metrics(t: Tables) -> DataFrame:
+    """Counters of the running job, component by component, as its listener kept them."""
+    root = scratch(t.spark, "counted")
+    sink = metrics.MetricsSink(t.spark, pricing_job.StreamPaths(root).metrics)
+    t.spark.streams.addListener(sink)
+    try:
+        live = pricing_job.accepted_events(wire.stream_wire(t.spark, stage_wire(t)))
+        running = pricing_job.start_pricing(live, click_serving(t), root, cfg=SPEED, once=True)
+        pricing_job.drain(running)
+        sink.settled(running)
+    finally:
+        t.spark.streams.removeListener(sink)
+    return metrics.stream_metrics(t.spark, sink.path)
 
 
 @query

@@ -56,3 +56,25 @@ SERVING = T.StructType(
         T.StructField("velocity_window", T.StringType()),
     ]
 )
+
+ALERT = T.StructType(
+    [
+        T.StructField("event_time", T.LongType()),
+        T.StructField("item_id", T.LongType()),
+        T.StructField("alert_type", T.StringType()),
+        T.StructField("stock_level", T.IntegerType()),
+        T.StructField("reorder_threshold", T.IntegerType()),
+        T.StructField("message", T.StringType()),
+    ]
+)
+
+ORDER = T.StructType(
+    [
+        T.StructField("event_time", T.LongType()),
+        T.StructField("sku", T.LongType()),
+        T.StructField("qty", T.IntegerType()),
+        T.StructField("supplier_email", T.StringType()),
+        T.StructField("subject", T.StringType()),
+        T.StructField("body", T.StringType()),
+    ]
+)

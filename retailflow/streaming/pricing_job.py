@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from retailflow.config import SpeedConfig
@@ -25,42 +26,48 @@ from retailflow.operators.decisions import (
 from retailflow.operators.serving import live_serving
 from retailflow.operators.velocity import windowed_velocity, with_times
 from retailflow.operators.monitoring import observed
-from retailflow.schemas import EVENT_TYPES, TRAFFIC_RECORD
+from retailflow.schemas import ALERT, EVENT_TYPES, ORDER, PRICE_UPDATE, TRAFFIC_RECORD
 from retailflow.session import prepare
 from retailflow.sources.wire import decode_records
+from retailflow.streaming.commits import CommitLog
 from retailflow.streaming.keyed_state import DECISION, ItemPricing
+from retailflow.streaming.metrics import counted
+
+
+#: Events with equal values here are one event.
+SILVER_KEY = ["visitor_id", "event", "item_id", "event_time"]
+LIVE = T.StructType(
+    [
+        T.StructField("item_id", T.LongType()),
+        T.StructField("price", T.DoubleType()),
+        T.StructField("velocity", T.DoubleType()),
+        T.StructField("velocity_window", T.StringType()),
+        T.StructField("as_of", T.TimestampType()),
+    ]
+)
+#: Outputs that other systems read, with their contracts.
+OUTPUTS = {"updates": PRICE_UPDATE, "alerts": ALERT, "orders": ORDER}
+#: Batches after which the live values are written as one snapshot.
+COMPACT_EVERY = 16
 
 
 @dataclass(frozen=True)
 class StreamPaths:
-    """Where the job writes; everything lives in storage that all executors reach."""
-
-    root: str
-
-    @property
-    def decisions(self) -> str:
-        return f"{self.root}/decisions"
-
-    @property
-    def updates(self) -> str:
-        return f"{self.root}/updates"
+    """Where the job writes; everything lives in storage that all executors reach.
 
-    @property
-    def alerts(self) -> str:
-        return f"{self.root}/alerts"
-
-    @property
-    def orders(self) -> str:
-        return f"{self.root}/orders"
+    Decisions, updates, alerts, orders, live values and their snapshots are outputs of the commit log at ``root``.
+    """
 
-    @property
-    def live(self) -> str:
-        return f"{self.root}/live"
+    root: str
 
     @property
     def rejects(self) -> str:
         return f"{self.root}/rejects"
 
+    @property
+    def metrics(self) -> str:
+        return f"{self.root}/metrics"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
@@ -72,6 +79,8 @@ def priced_stream(
     """Decisions of closed windows: windowed counts, serving lookup, keyed state, presentation."""
     prepare(events.sparkSession)
     timely = with_times(events).withWatermark("event_time", cfg.watermark)
+    if cfg.deduplicate:
+        timely = timely.dropDuplicatesWithinWatermark(SILVER_KEY)
     looked_up = with_lookups(windowed_velocity(timely, cfg.window_seconds), serving)
     # All but the classifier's part of the surge test is known before the state is.
     certain = with_surge(looked_up, F.lit(1.0), cfg.window_seconds, cfg.pricing)
@@ -82,33 +91,66 @@ def priced_stream(
         outputMode="Append",
         timeMode="EventTime",
     )
-    return present_decisions(decided, cfg.display)
+    rules = {
+        "records_processed": F.lit(True),
+        "surge_events": F.col("is_surge"),
+        "low_stock_alerts": F.col("stock") < cfg.reorder_threshold,
+    }
+    return counted(present_decisions(decided, cfg.display), "pricing", rules)
 
 
-def write_batch(paths: StreamPaths, cfg: SpeedConfig):
-    """foreachBatch body: one pass over the decisions, each output in a folder of its batch.
+def write_batch(root: str, cfg: SpeedConfig, compact_every: int = COMPACT_EVERY):
+    """foreachBatch body: one pass over the decisions, all outputs committed together.
 
-    A retried batch overwrites its own folder, so every output is written once per batch whatever
-    fails in between.
+    Every ``compact_every`` batches the live values so far are written as one snapshot, so a reader needs
+    the newest snapshot and the few batches after it.
     """
 
-    def write(decisions: DataFrame, batch_id: int) -> None:
-        folder = f"batch_id={batch_id}"
-        decided_path = f"{paths.decisions}/{folder}"
-        decisions.write.mode("overwrite").parquet(decided_path)
-        written = decisions.sparkSession.read.schema(decisions.schema).parquet(decided_path)
+    def write(decided: DataFrame, batch_id: int) -> None:
+        log = CommitLog(decided.sparkSession, root)
+        if log.is_committed(batch_id):
+            decided.write.format("noop").mode("overwrite").save()  # the state of the batch is still to be kept
+            return
+        staged = {}
+        staged["decisions"], rows = log.stage("decisions", decided, batch_id)
         stamp = F.unix_millis("window_end")
-        update_records(written, stamp).write.mode("overwrite").parquet(f"{paths.updates}/{folder}")
-        alerts = low_stock_alerts(written, stamp, cfg.reorder_threshold)
-        alerts.write.mode("overwrite").parquet(f"{paths.alerts}/{folder}")
-        reorders(alerts).write.mode("overwrite").parquet(f"{paths.orders}/{folder}")
-        newest = written.groupBy("item_id").agg(F.max("window_start").alias("as_of"))
-        live = live_serving(written, cfg.window_seconds).join(newest, "item_id")
-        live.write.mode("overwrite").parquet(f"{paths.live}/{folder}")
+        staged["updates"], _ = log.stage("updates", update_records(rows, stamp), batch_id)
+        staged["alerts"], alerts = log.stage("alerts", low_stock_alerts(rows, stamp, cfg.reorder_threshold), batch_id)
+        staged["orders"], _ = log.stage("orders", reorders(alerts), batch_id)
+        newest = rows.groupBy("item_id").agg(F.max("window_start").alias("as_of"))
+        live = live_serving(rows, cfg.window_seconds).join(newest, "item_id").select(*LIVE.names)
+        staged["live"], live = log.stage("live", live, batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            whole = _newest_values(_live_rows(log).unionByName(live))
+            staged["snapshot"], _ = log.stage("snapshot", whole, batch_id)
+        log.commit(batch_id, staged)
 
     return write
 
 
+def _live_rows(log: CommitLog) -> DataFrame:
+    """The newest snapshot and the live values of the batches after it."""
+    last = log.newest("snapshot")
+    if last is None:
+        return log.read("live", LIVE)
+    return log.read("snapshot", LIVE, last - 1).unionByName(log.read("live", LIVE, last))
+
+
+def _newest_values(rows: DataFrame) -> DataFrame:
+    values = F.struct(*LIVE.names[1:])
+    return rows.groupBy("item_id").agg(F.max_by(values, "as_of").alias("v")).select("item_id", "v.*")
+
+
+def current_live(spark: SparkSession, root: str) -> DataFrame:
+    """[item_id, price, velocity, velocity_window]: the newest live values of all committed batches."""
+    return _newest_values(_live_rows(CommitLog(spark, root))).drop("as_of")
+
+
+def committed(spark: SparkSession, root: str, output: str) -> DataFrame:
+    """All rows of an output of the job: updates, alerts or orders."""
+    return CommitLog(spark, root).read(output, OUTPUTS[output])
+
+
 def start_pricing(
     events: DataFrame,
     serving: DataFrame,
@@ -123,20 +165,13 @@ def start_pricing(
     return (
         priced_stream(events, serving, weights, cfg)
         .writeStream.outputMode("append")
-        .foreachBatch(write_batch(paths, cfg))
+        .foreachBatch(write_batch(root, cfg))
         .option("checkpointLocation", paths.checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
-def current_live(spark: SparkSession, root: str) -> DataFrame:
-    """[item_id, price, velocity, velocity_window]: the newest live values of all batches so far."""
-    values = F.struct("price", "velocity", "velocity_window")
-    batches = spark.read.parquet(StreamPaths(root).live)
-    return batches.groupBy("item_id").agg(F.max_by(values, "as_of").alias("v")).select("item_id", "v.*")
-
-
 def start_rejects(raw: DataFrame, root: str, once: bool = False, name: str = "rejects") -> StreamingQuery:
     """Route wire records that do not decode or are not of the event contract to the reject folder.
 
@@ -167,8 +202,10 @@ def reject_reasons(decoded: DataFrame) -> DataFrame:
 
 
 def accepted_events(raw: DataFrame) -> DataFrame:
-    """Typed events of the wire records that the stream prices."""
-    return reject_reasons(decode_records(raw)).where("reject_reason IS NULL").select(*TRAFFIC_RECORD.names)
+    """Typed events of the wire records that the stream prices; accepted and rejected ones are counted as they pass."""
+    rejected = F.col("reject_reason").isNotNull()
+    judged = counted(reject_reasons(decode_records(raw)), "ingest", {"records_processed": ~rejected, "errors": rejected})
+    return judged.where("reject_reason IS NULL").select(*TRAFFIC_RECORD.names)
 
 
 def drain(query: StreamingQuery) -> None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,9 +14,9 @@ from retailflow.operators import decisions, velocity
 from retailflow.paths import Lake
 from retailflow.plans import nightly
 from retailflow.plans.catalogue import fixed_weights
-from retailflow.schemas import PRICE_UPDATE, SERVING, TRAFFIC_RECORD
+from retailflow.schemas import ORDER, PRICE_UPDATE, SERVING, TRAFFIC_RECORD
 from retailflow.sources import wire
-from retailflow.streaming import feeds, pricing_job
+from retailflow.streaming import commits, feeds, metrics, pricing_job
 
 CFG = SpeedConfig()
 
@@ -47,6 +50,108 @@ ROWS = [
 ]
 
 
+def poll(spark, root, tmp_path, output, schema):
+    out, seen = str(tmp_path / output), str(tmp_path / f"{output}-reader")
+    pricing_job.drain(feeds.follow(spark, root, output, schema, out, seen, once=True))
+
+
+def run_once(spark, serving_rows, source, root, cfg=CFG):
+    live = pricing_job.accepted_events(wire.stream_wire(spark, source, max_files=1))
+    pricing_job.drain(pricing_job.start_pricing(live, serving_rows, root, None, cfg, once=True))
+
+
+def sorted_rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("where", ["between two outputs", "after the commit"])
+def test_a_batch_that_fails_is_delivered_once(spark, serving_rows, tmp_path, monkeypatch, where):
+    """The batch is tried again; a reader that polls in between finds every update, alert and order exactly once."""
+    source, clean, root = str(tmp_path / "wire"), str(tmp_path / "clean"), str(tmp_path / "out")
+    for part in (ROWS[:100], ROWS[100:]):
+        records(spark, part).write.mode("append").parquet(source)
+    run_once(spark, serving_rows, source, clean)
+    failures = []
+    if where == "after the commit":
+        plain = commits.CommitLog.commit
+
+        def commit(log, batch_id, staged):
+            plain(log, batch_id, staged)
+            if batch_id == 1 and not failures:
+                failures.append(batch_id)
+                raise RuntimeError("lost after the commit")
+
+        monkeypatch.setattr(commits.CommitLog, "commit", commit)
+    else:
+        plain = pricing_job.reorders
+
+        def orders(alerts):
+            if not failures and alerts.count():
+                failures.append(1)
+                raise RuntimeError("lost between two outputs")
+            return plain(alerts)
+
+        monkeypatch.setattr(pricing_job, "reorders", orders)
+    with pytest.raises(Exception, match="lost"):
+        run_once(spark, serving_rows, source, root)
+    for output, schema in (("updates", PRICE_UPDATE), ("orders", ORDER)):
+        poll(spark, root, tmp_path, output, schema)
+    run_once(spark, serving_rows, source, root)
+    assert failures
+    for output, schema in (("updates", PRICE_UPDATE), ("orders", ORDER)):
+        poll(spark, root, tmp_path, output, schema)
+        want = sorted_rows(pricing_job.committed(spark, clean, output))
+        assert want and sorted_rows(pricing_job.committed(spark, root, output)) == want
+        assert sorted_rows(feeds.followed(spark, str(tmp_path / output), schema)) == want
+    assert sorted_rows(pricing_job.current_live(spark, root)) == sorted_rows(pricing_job.current_live(spark, clean))
+
+
+def test_live_values_come_from_a_snapshot_and_its_tail(spark, tmp_path):
+    """The files that a reader of live values opens do not grow with the batches."""
+    root, schema = str(tmp_path / "out"), "item_id long, window_start timestamp, window_end timestamp, base_price double, new_price double, velocity double, baseline double, surge_prob double, is_surge boolean, stock int, reason string"
+    write = pricing_job.write_batch(root, CFG, compact_every=4)
+    files = []
+    for batch in range(11):
+        start = datetime(2024, 1, 1, batch)
+        rows = [(item, start, start, 1.0, float(batch), 2.0, 0.0, 0.0, False, 90, "") for item in (batch % 3, 50)]
+        write(spark.createDataFrame(rows, schema), batch)
+        log = commits.CommitLog(spark, root)
+        last = log.newest("snapshot")
+        files.append(len(log.paths("live", -1 if last is None else last)) + (last is not None))
+        live = {r["item_id"]: r["price"] for r in pricing_job.current_live(spark, root).collect()}
+        assert live == {item: float(max(b for b in range(batch + 1) if item in (b % 3, 50))) for item in {50} | {b % 3 for b in range(batch + 1)}}
+    assert max(files) <= 4 and files[-1] == 4
+
+
+def test_events_that_arrive_again_count_once(spark, serving_rows, tmp_path):
+    once, twice = str(tmp_path / "once"), str(tmp_path / "twice")
+    later = [(r[0] + 1_200_000_000, *r[1:]) for r in ROWS]  # an event at time zero is late from the start
+    for part in (later[:100], later[100:]):
+        records(spark, part).write.mode("append").parquet(once)
+        records(spark, [r for row in part for r in (row, row)]).write.mode("append").parquet(twice)
+    run_once(spark, serving_rows, once, str(tmp_path / "a"))
+    run_once(spark, serving_rows, twice, str(tmp_path / "b"), replace(CFG, deduplicate=True))
+    first, second = (sorted_rows(pricing_job.committed(spark, str(tmp_path / x), "updates")) for x in "ab")
+    assert first and first == second
+
+
+def test_counters_of_a_running_job_are_kept(spark, serving_rows, tmp_path):
+    source, root = str(tmp_path / "wire"), str(tmp_path / "out")
+    bad = spark.createDataFrame([("k", bytearray(b"\x00\x01"))], "key string, value binary")
+    records(spark, ROWS).unionByName(bad).coalesce(1).write.parquet(source)
+    sink = metrics.MetricsSink(spark, str(tmp_path / "metrics"))
+    spark.streams.addListener(sink)
+    live = pricing_job.accepted_events(wire.stream_wire(spark, source))
+    query = pricing_job.start_pricing(live, serving_rows, root, None, CFG, once=True)
+    pricing_job.drain(query)
+    assert sink.settled(query)
+    spark.streams.removeListener(sink)
+    found = {(r["component"], r["metric"]): r["value"] for r in metrics.stream_metrics(spark, sink.path).collect()}
+    assert found["ingest", "records_processed"] == len(ROWS) and found["ingest", "errors"] == 1
+    assert found["pricing", "records_processed"] == pricing_job.committed(spark, root, "updates").count() > 0
+    assert found["pricing", "low_stock_alerts"] == pricing_job.committed(spark, root, "alerts").count() > 0
+
+
 def test_stream_equals_batch_and_restarts(spark, serving_rows, tmp_path):
     """Two runs from one checkpoint, with records arriving between them, price what the batch form prices."""
     source, root, weights = str(tmp_path / "wire"), str(tmp_path / "out"), fixed_weights()
@@ -54,8 +159,7 @@ def test_stream_equals_batch_and_restarts(spark, serving_rows, tmp_path):
         records(spark, part).write.mode("append").parquet(source)
         live = pricing_job.accepted_events(wire.stream_wire(spark, source))
         pricing_job.drain(pricing_job.start_pricing(live, serving_rows, root, weights, CFG, once=True))
-    paths = pricing_job.StreamPaths(root)
-    streamed = spark.read.parquet(paths.updates).drop("batch_id").toPandas().sort_values(["event_time", "item_id"])
+    streamed = pricing_job.committed(spark, root, "updates").toPandas().sort_values(["event_time", "item_id"])
 
     windows = velocity.windowed_velocity(spark.createDataFrame(ROWS, TRAFFIC_RECORD), 60)
     scored = velocity.surge_score(velocity.feature_history(windows), weights)
@@ -67,12 +171,11 @@ def test_stream_equals_batch_and_restarts(spark, serving_rows, tmp_path):
     for column in ("event_time", "item_id", "base_price", "new_price", "velocity", "baseline"):
         assert streamed[column].tolist() == closed[column].tolist(), column
     assert streamed["surge_prob"].tolist() == pytest.approx(closed["surge_prob"].tolist(), abs=1e-5)
-    alerts, orders = spark.read.parquet(paths.alerts), spark.read.parquet(paths.orders)
+    alerts, orders = (pricing_job.committed(spark, root, name) for name in ("alerts", "orders"))
     assert alerts.count() == orders.count() > 0 and orders.select("event_time", "sku").distinct().count() == orders.count()
     for _ in range(2):  # a reader that starts again delivers nothing twice
-        feed = feeds.read_feed(spark, paths.updates, PRICE_UPDATE)
-        pricing_job.drain(feeds.follow(feed, str(tmp_path / "followed"), str(tmp_path / "reader"), once=True))
-    assert spark.read.parquet(str(tmp_path / "followed")).count() == len(streamed)
+        poll(spark, root, tmp_path, "updates", PRICE_UPDATE)
+    assert feeds.followed(spark, str(tmp_path / "updates"), PRICE_UPDATE).count() == len(streamed)
     now = {r["item_id"]: r["price"] for r in pricing_job.current_live(spark, root).collect()}
     last = closed.groupby("item_id")["new_price"].last().to_dict()
     assert now == last
