@@ -59,3 +59,48 @@ def carry_base_prices(items, live, stored, lift, cfg: DisplayConfig = DisplayCon
         open_still = change < end
         row, end, price = change[open_still], end[open_still], new[open_still]
     return base, shown, (items[-1], shown[-1])
+
+
+def closing_price(price: float, lifts, runs, cfg: DisplayConfig = DisplayConfig()) -> float:
+    """Shown price of the last row of rows without a live price, the first of which opens with ``price``.
+
+    ``runs`` counts the rows without a lift before each lifted row, and after the last one. A price that is
+    shown again unchanged holds for the rest of a run.
+    """
+    for k, run in enumerate(runs):
+        for _ in range(int(run)):
+            new = float(shown_price(price, 0.0, cfg))
+            if new == price:
+                break
+            price = new
+        if k < len(lifts):
+            price = float(shown_price(price, lifts[k], cfg))
+    return price
+
+
+class PieceSummary:
+    """What consecutive rows of an item do to the price that they open with."""
+
+    def __init__(self, name: tuple[int, int], stored: float):
+        self.name, self.stored, self.closing = name, stored, np.nan
+        self.lifts: list[float] = []
+        self.runs: list[int] = [0]
+
+    def take(self, live: np.ndarray, lift: np.ndarray, cfg: DisplayConfig) -> None:
+        """The next rows of the piece."""
+        known = np.flatnonzero(~np.isnan(live))
+        if len(known):
+            # Nothing before the last live price matters any more.
+            self.closing, self.lifts, self.runs = float(live[known[-1]]), [], [0]
+            lift = lift[known[-1] :]
+        places = np.flatnonzero(lift)
+        gaps = np.diff(np.concatenate([[-1], places, [len(lift)]])) - 1
+        self.runs[-1] += int(gaps[0])
+        self.runs += gaps[1:].tolist()
+        self.lifts += lift[places].tolist()
+        if not np.isnan(self.closing):
+            self.closing = closing_price(self.closing, self.lifts, self.runs, cfg)
+            self.lifts, self.runs = [], [0]
+
+    def row(self) -> tuple:
+        return (*self.name, self.stored, self.closing, self.lifts, self.runs)

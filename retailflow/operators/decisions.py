@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ from retailflow.config import (
     SpeedConfig,
 )
 from retailflow.functions import pricing
-from retailflow.functions.pricefold import carry_base_prices
+from retailflow.functions.pricefold import PieceSummary, carry_base_prices, closing_price
+from retailflow.session import written
 
 # Texts of alerts and orders.
 LOW_STOCK_MESSAGE = "SKU %d stock %d below threshold %d"
@@ -30,6 +32,18 @@ ORDER_BODY = (
 )
 
 _SPEED = SpeedConfig()
+#: Length of the pieces that the price walk is cut into: a week.
+PRICE_BLOCK_SECONDS = 7 * 24 * 60 * 60
+SUMMARY = T.StructType(
+    [
+        T.StructField("item_id", T.LongType()),
+        T.StructField("_block", T.LongType()),
+        T.StructField("stored", T.DoubleType()),
+        T.StructField("closing", T.DoubleType()),
+        T.StructField("lifts", T.ArrayType(T.DoubleType())),
+        T.StructField("runs", T.ArrayType(T.LongType())),
+    ]
+)
 
 
 def with_lookups(windows: DataFrame, serving: DataFrame) -> DataFrame:
@@ -72,30 +86,94 @@ def with_surge(
     )
 
 
-def replay_prices(windows: DataFrame, display: DisplayConfig = DisplayConfig()) -> DataFrame:
+def replay_prices(
+    windows: DataFrame, display: DisplayConfig = DisplayConfig(), block_seconds: int = PRICE_BLOCK_SECONDS
+) -> DataFrame:
     """Adds base_price and new_price by walking the windows of every item in time order.
 
-    The shown price of one window is the base of the next one without a live price, so the rows are
-    a sequence per item. Partitions are read as sorted Arrow batches and only the last shown price is
-    carried from batch to batch: an item of any length needs the memory of one batch.
+    The shown price of one window is the base of the next one without a live price. An item's windows are cut into
+    pieces by blocks of time, so a long history is spread over many tasks. A piece with a live price closes
+    with a price of its own; any other is summarised as what it does to its opening price: the
+    lifts in order and how many windows without one lie between them. A second walk over these summaries, one short row a
+    piece, gives every piece its opening price, and the pieces are then priced each for itself. The results do
+    not depend on the length of a block.
     """
-    ordered = windows.repartition("item_id").sortWithinPartitions("item_id", "window_start")
-    carried_fields = [T.StructField("base_price", T.DoubleType()), T.StructField("new_price", T.DoubleType())]
+    rows = written(windows.withColumn("_block", F.floor(F.unix_seconds("window_start") / block_seconds)), "walk")
+    openings = written(_opening_prices(rows, display), "openings")
+    opened = rows.join(openings, ["item_id", "_block"])
+    ordered = opened.repartition("item_id", "_block").sortWithinPartitions("item_id", "_block", "window_start")
+    priced = [T.StructField("base_price", T.DoubleType()), T.StructField("new_price", T.DoubleType())]
+
+    columns = windows.columns
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carried = None
+        name, price = None, None  # of the piece that the frame before ended in
         for frame in frames:
-            base, shown, carried = carry_base_prices(
-                frame["item_id"].to_numpy(),
-                frame["last_price"].to_numpy(dtype="float64", na_value=float("nan")),
-                frame["stored_price"].to_numpy(dtype="float64", na_value=float("nan")),
-                frame["uplift"].to_numpy(dtype="float64"),
-                display,
-                carried,
+            names, first = _pieces(frame)
+            live, stored, lift = _prices(frame)
+            goes_on = names[0] == name
+            # A piece opens with the price shown before it, as if that were live.
+            opens = first & ~(goes_on & (np.arange(len(first)) == 0))
+            opening = frame["_opening"].to_numpy(dtype="float64", na_value=np.nan)
+            number = np.cumsum(first)
+            base, shown, last = carry_base_prices(
+                number, np.where(opens & np.isnan(live), opening, live), stored, lift, display, (1, price) if goes_on else None
             )
-            yield frame.assign(base_price=base, new_price=shown)
+            name, price = names[-1], last[1]
+            yield frame[columns].assign(base_price=base, new_price=shown)
+
+    return ordered.mapInPandas(fold, T.StructType([*windows.schema.fields, *priced]))
+
+
+def _pieces(frame: pd.DataFrame) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Item and block of each row, and where another piece begins."""
+    item, block = frame["item_id"].to_numpy(), frame["_block"].to_numpy()
+    first = np.append(True, (item[1:] != item[:-1]) | (block[1:] != block[:-1]))
+    return list(zip(item.tolist(), block.tolist(), strict=True)), first
+
+
+def _prices(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    live, stored = (frame[c].to_numpy(dtype="float64", na_value=np.nan) for c in ("last_price", "stored_price"))
+    return live, stored, frame["uplift"].to_numpy(dtype="float64")
+
+
+def _opening_prices(rows: DataFrame, display: DisplayConfig) -> DataFrame:
+    """[item_id, _block, _opening]: the price shown before each piece; null for the first piece of an item."""
+    ordered = rows.repartition("item_id", "_block").sortWithinPartitions("item_id", "_block", "window_start")
+
+    def summarise(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_piece = None
+        for frame in frames:
+            pieces, first = _pieces(frame)
+            live, stored, lift = _prices(frame)
+            bounds = np.append(np.flatnonzero(first), len(frame))
+            done = []
+            for low, high in zip(bounds, bounds[1:]):
+                if open_piece is None or open_piece.name != pieces[low]:
+                    if open_piece is not None:
+                        done.append(open_piece.row())
+                    open_piece = PieceSummary(pieces[low], stored[low])
+                open_piece.take(live[low:high], lift[low:high], display)
+            yield pd.DataFrame(done, columns=SUMMARY.names)
+        if open_piece is not None:
+            yield pd.DataFrame([open_piece.row()], columns=SUMMARY.names)
+
+    summaries = written(ordered.select("item_id", "_block", "window_start", "last_price", "stored_price", "uplift").mapInPandas(summarise, SUMMARY), "pieces")
+    in_order = summaries.repartition("item_id").sortWithinPartitions("item_id", "_block")
+
+    def resolve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        item = price = None
+        for frame in frames:
+            openings = []
+            for row in frame.itertuples(index=False):
+                same = row.item_id == item
+                openings.append(price if same else np.nan)
+                start = price if same else (0.0 if np.isnan(row.stored) else row.stored)
+                price = row.closing if not np.isnan(row.closing) else closing_price(start, row.lifts, row.runs, display)
+                item = row.item_id
+            yield pd.DataFrame({"item_id": frame["item_id"], "_block": frame["_block"], "_opening": openings})
 
-    return ordered.mapInPandas(fold, T.StructType([*windows.schema.fields, *carried_fields]))
+    return in_order.mapInPandas(resolve, "item_id long, _block long, _opening double")
 
 
 def present_decisions(priced: DataFrame, display: DisplayConfig = DisplayConfig()) -> DataFrame:

@@ -519,6 +519,15 @@ WHERE reject_reason IS NOT NULL GROUP BY 1""",
 FROM windows GROUP BY item_id""",
     )
     sql["follow_updates"] = sql["pricing_stream"]
+    sql["deduplicated_stream"] = sql["pricing_stream"]
+    sql["stream_metrics"] = _with(
+        [*_BASE, STREAM_EVENTS, stream_windows, STREAM_WALK, closed, *_SERVING[3:], _surge("0.0"), WALK],
+        f"""SELECT 'ingest' AS component, 'records_processed' AS metric, count(*) FILTER ({_KNOWN}) AS value FROM clicks
+UNION ALL SELECT 'ingest', 'errors', count(*) FILTER (NOT ({_KNOWN})) FROM clicks
+UNION ALL SELECT 'pricing', 'records_processed', count(*) FROM decided
+UNION ALL SELECT 'pricing', 'surge_events', count(*) FILTER (is_surge) FROM decided
+UNION ALL SELECT 'pricing', 'low_stock_alerts', count(*) FILTER (stock < 50) FROM decided""",
+    )
     sql["sales_forecast"] = _with(
         [SALES, sales_features], "SELECT item_id, TRUE AS is_demand FROM sales_features WHERE label IS NULL"
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from datetime import datetime, timezone
 
 import numpy as np
 import pytest
@@ -13,6 +14,8 @@ from retailflow.config import DisplayConfig
 from retailflow.functions import pricing
 from retailflow.functions.pricefold import carry_base_prices, shown_price
 from retailflow.functions.surgenet import surge_probabilities
+from retailflow.operators.decisions import replay_prices
+from retailflow.operators.velocity import feature_history
 from retailflow.plans.catalogue import fixed_weights
 from retailflow.streaming.keyed_state import history_rows
 
@@ -99,3 +102,53 @@ def test_surge_network_against_a_scalar_version():
             h = [sig(gate[9 + u]) * math.tanh(c[u]) for u in range(3)]
         assert p == pytest.approx(sig(sum(weights["w_head"][0][u] * h[u] for u in range(3)) + weights["b_head"][0]), abs=1e-5)
     assert surge_probabilities(None, history.reshape(2, -1)).tolist() == [0.0, 0.0]
+
+
+def long_windows(r, items=3, n=160):
+    """Windows of a few items with gaps, live prices, lifts and stored prices."""
+    rows = []
+    for item in range(items):
+        start, stored = 0, r.choice([None, 20.0, 99.5])
+        for _ in range(n):
+            start += r.choice((60, 60, 60, 120, 600, 9_000))
+            live = r.uniform(5, 50) if r.random() < (0.0, 0.03, 0.2)[item % 3] else None
+            rows.append((item, datetime.fromtimestamp(start, timezone.utc), r.randrange(9), r.randrange(9), r.randrange(9), live, stored, r.choice((0.0, 0.0, 0.0, 0.1, 0.25))))
+    return rows
+
+
+WINDOW_ROW = (
+    "item_id long, window_start timestamp, velocity long, view_count long, addtocart_count long, "
+    "last_price double, stored_price double, uplift double"
+)
+
+
+@pytest.mark.parametrize("block", [60, 1_800, 20_000, 10**9])
+def test_histories_do_not_depend_on_blocks(spark, block):
+    rows = long_windows(random.Random(8))
+    table = spark.createDataFrame(rows, WINDOW_ROW)
+    found = feature_history(table.select("item_id", "window_start", "velocity", "view_count", "addtocart_count"), 7_200, block)
+    got = {(r["item_id"], r["window_start"].timestamp()): r["sequence"] for r in found.collect()}
+    assert len(got) == len(rows)
+    steps, last, key = [], None, None
+    for item, start, *counts, _, _, _ in rows:
+        at = start.timestamp()
+        if item != key or at - last > 7_200:
+            steps = []
+        key, last = item, at
+        steps = [*steps, [*map(float, counts), 0.0]][-50:]
+        want = [steps[0]] * (50 - len(steps)) + steps
+        assert got[item, at] == [x for step in want for x in step]
+
+
+@pytest.mark.parametrize("cfg", [DisplayConfig(), DisplayConfig(floor_pct=0.03), DisplayConfig(enabled=False)])
+@pytest.mark.parametrize("block", [60, 420, 20_000, 10**9])
+def test_price_walk_does_not_depend_on_pieces(spark, block, cfg):
+    rows = long_windows(random.Random(9), items=6)
+    table = spark.createDataFrame(rows, WINDOW_ROW)
+    found = replay_prices(table, cfg, block).collect()
+    got = {(r["item_id"], r["window_start"].timestamp()): (r["base_price"], r["new_price"]) for r in found}
+    nan = lambda k: np.array([np.nan if r[k] is None else r[k] for r in rows])
+    base, shown, _ = carry_base_prices(np.array([r[0] for r in rows]), nan(5), nan(6), nan(7), cfg)
+    assert len(got) == len(rows)
+    for r, b, s in zip(rows, base, shown, strict=True):
+        assert got[r[0], r[1].timestamp()] == (b, s)
