@@ -339,15 +339,18 @@ def contributions(records: DataFrame, counts: DataFrame) -> DataFrame:
     few = (by_b.agg(F.sum(F.size("a"))).first()[0] or 0) <= FEW_PAIRS
     joined = records.join(F.broadcast(by_b) if few else by_b, "b").select("others", "lengths", "data", "a", "n", "best")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def summed(parts):
-            rows, best, total = (np.concatenate(x) for x in zip(*parts, strict=True))
-            own, place = np.unique(rows, return_inverse=True)
-            sums = [np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)]
-            for out, values in zip(sums, (best, total), strict=True):
-                np.add.at(out, place, values)
-            return pa.RecordBatch.from_arrays([pa.array(own), *map(pa.array, sums)], ["row", "n_best", "count_sum"])
+    names = ["row", "n_best", "count_sum"]
+
+    def summed(parts: list[tuple]) -> tuple:
+        """One row a document of all parts."""
+        rows, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
+        own, place = np.unique(rows, return_inverse=True)
+        sums = [np.zeros(len(own), np.int64) for _ in values]
+        for out, each in zip(sums, values, strict=True):
+            np.add.at(out, place, each)
+        return own, *sums
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             columns = [batch.column(k) for k in range(6)]
@@ -359,10 +362,14 @@ def contributions(records: DataFrame, counts: DataFrame) -> DataFrame:
                 held.append((rows, np.where(each == best.as_py(), times, 0).astype(np.int64), each * times))
                 size += len(rows)
                 if size >= SPILL:
-                    yield summed(held)
-                    held, size = [], 0
+                    # Neighbouring documents fill a slice, so their sums stay while its records pass by.
+                    held = [summed(held)]
+                    size = len(held[0][0])
+                    if size >= SPILL // 2:
+                        yield pa.RecordBatch.from_arrays(list(map(pa.array, held[0])), names)
+                        held, size = [], 0
         if held:
-            yield summed(held)
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, summed(held))), names)
 
     partial = joined.mapInArrow(run, "row long, n_best long, count_sum long")
     return partial.groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))

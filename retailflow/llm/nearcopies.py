@@ -254,17 +254,15 @@ def bucket_links(rows: DataFrame) -> DataFrame:
     return ordered.select("key", "id", "fp", "n").mapInArrow(run, "a long, b long, key long")
 
 
-def _distance(left: str, right: str) -> Column:
+def _distance(left: str, right: str, plan: Layout) -> Column:
     """Differing bits of all fingerprints."""
-    return F.aggregate(
-        F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda total, x: total + x
-    )
+    return F.expr(" + ".join(f"bit_count({left}[{k}] ^ {right}[{k}])" for k in range(plan.prints)))
 
 
 def _near_pairs(pairs: DataFrame, classes: DataFrame, plan: Layout) -> DataFrame:
     """[a, b, d]: the ``pairs`` [a, b] whose fingerprints are near as a whole, with the differing bits."""
     sides = [classes.select(F.col("id").alias(c), F.col("prints").alias(f"p_{c}")) for c in ("a", "b")]
-    both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", _distance("p_a", "p_b").alias("d"))
+    both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", _distance("p_a", "p_b", plan).alias("d"))
     return both.where(F.col("d") <= plan.most_bits)
 
 
@@ -279,13 +277,13 @@ def first_tries(near: DataFrame) -> DataFrame:
     return tries.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def outsider_pairs(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """[a, b]: near pairs of different components in the buckets of ``rows`` [key, id, fp, n].
+def outsider_pairs(rows: DataFrame, classes: DataFrame, roots: DataFrame, plan: Layout) -> DataFrame:
+    """[a, b]: near pairs of different components in the buckets of ``rows`` [key, id, n].
 
     Of such a pair one text at least is outside the largest component of the bucket: these are compared
-    with all rows of the bucket, in pieces.
+    with all rows of the bucket, in pieces, by all bits of both.
     """
-    known = rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    known = rows.select("key", "id", "n").join(classes.select("id", "prints"), "id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     known = stored(known, "dense_rows")
     cells = known.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
     sizes = cells.groupBy("key").agg(F.sum("c").alias("size"), F.max(F.struct("c", "root")).alias("most"))
@@ -298,9 +296,8 @@ def outsider_pairs(rows: DataFrame, roots: DataFrame) -> DataFrame:
     left = placed.where("root != largest").withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
     right = placed.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     once = (F.col("r.root") == F.col("r.largest")) | (F.col("l.id") < F.col("r.id"))
-    near = F.expr(
-        f"bit_count(l.fp ^ r.fp) <= {RADIUS} AND 100 * least(l.n, r.n) >= {PERCENT} * greatest(l.n, r.n)"
-    )
+    near = F.expr(f"100 * least(l.n, r.n) >= {PERCENT} * greatest(l.n, r.n)")
+    near = near & (_distance("l.prints", "r.prints", plan) <= plan.most_bits)
     same = (F.col("l.key") == F.col("r.key")) & (F.col("l.piece") == F.col("r.piece"))
     met = left.alias("l").join(right.alias("r"), same & (F.col("l.root") != F.col("r.root")) & once & near)
     return met.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
@@ -327,8 +324,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     dense = stored(met.where("key IS NOT NULL").select("key").distinct(), "dense")
     if not dense.isEmpty():
         again = keyed(classes, plan).join(broadcast_up_to(dense, FEW), "key", "left_semi")
-        more = outsider_pairs(again, roots)
-        apart = apart.unionByName(_near_pairs(more, classes, plan).select("a", "b")).distinct()
+        apart = apart.unionByName(outsider_pairs(again, classes, roots, plan)).distinct()
     rest = stored(apart.join(tried, ["a", "b"], "left_anti"), "rest")
     found = _roots(links.unionByName(stored(verified(rest, rows, shingle_set, PERCENT), "more")), "groups")
     return found.select(F.col("id").alias("text_hash"), F.col("root").alias("group"))
