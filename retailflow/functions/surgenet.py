@@ -11,20 +11,42 @@ WEIGHT_NAMES = ("w_input", "w_hidden", "b_input", "b_hidden", "w_head", "b_head"
 GATES = ("input", "forget", "cell", "output")
 
 
+def weight_shapes(units: int) -> dict[str, tuple[int, ...]]:
+    """The shape of each array for a number of hidden units."""
+    gates = len(GATES) * units
+    return {
+        "w_input": (gates, HISTORY_FEATURES),
+        "w_hidden": (gates, units),
+        "b_input": (gates,),
+        "b_hidden": (gates,),
+        "w_head": (1, units),
+        "b_head": (1,),
+    }
+
+
+def weight_faults(weights) -> dict[str, str]:
+    """What keeps weights from being used, by array: missing, type, shape, or not finite."""
+    faults, arrays = {}, {}
+    for name in WEIGHT_NAMES:
+        try:
+            arrays[name] = np.asarray(weights[name], dtype=np.float32)
+        except (KeyError, TypeError) as problem:
+            faults[name] = "missing" if isinstance(problem, KeyError) or weights is None else "type"
+        except ValueError:
+            faults[name] = "type"
+    hidden = arrays.get("w_hidden")
+    units = hidden.shape[1] if hidden is not None and hidden.ndim == 2 else 0
+    for name, array in arrays.items():
+        if not units or array.shape != weight_shapes(units)[name]:
+            faults[name] = f"shape {array.shape}"
+        elif not np.isfinite(array).all():
+            faults[name] = "not finite"
+    return faults
+
+
 def valid_weights(weights) -> bool:
     """True when every array is there and the shapes fit each other."""
-    try:
-        w_in, w_h, b_in, b_h, w_o, b_o = (np.asarray(weights[n], dtype=np.float32) for n in WEIGHT_NAMES)
-        units = w_h.shape[1]
-        return (
-            w_in.shape == (4 * units, HISTORY_FEATURES)
-            and w_h.shape == (4 * units, units)
-            and b_in.shape == b_h.shape == (4 * units,)
-            and w_o.shape == (1, units)
-            and b_o.shape == (1,)
-        )
-    except (TypeError, KeyError, ValueError, IndexError):
-        return False
+    return not weight_faults(weights)
 
 
 def _sigmoid(x):

@@ -96,19 +96,26 @@ def _grid(regressor: GBTRegressor):
     )
 
 
+def model_inputs(features: DataFrame) -> DataFrame:
+    """Rows with the vector ``inputs`` that the model takes; what is not known is 0."""
+    assembler = VectorAssembler(inputCols=MODEL_INPUTS, outputCol="inputs")
+    return assembler.transform(features.na.fill(0.0, MODEL_INPUTS[:2]).na.fill(0, MODEL_INPUTS[2:]))
+
+
+def score_forecast(model, newest: DataFrame) -> DataFrame:
+    """[item_id, forecast_demand] of feature rows by a fitted or loaded model, clamped at 0."""
+    scored = model.transform(model_inputs(newest))
+    return scored.select("item_id", F.greatest("prediction", F.lit(0.0)).alias("forecast_demand"))
+
+
 def train_forecast(features: DataFrame, model_path: str | None = None, parallelism: int = 4):
     """(model, forecasts, report): boosted trees chosen by two-fold RMSE, forecasts clamped at 0.
 
     forecasts = [item_id, forecast_demand]; report = one row with the chosen parameters and RMSE.
     """
     spark = features.sparkSession
-    assembler = VectorAssembler(inputCols=MODEL_INPUTS, outputCol="inputs")
     known, newest = forecast_split(features)
-    train = (
-        assembler.transform(known.na.fill(0.0, MODEL_INPUTS[:2]).na.fill(0, MODEL_INPUTS[2:]))
-        .select("inputs", "label")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    train = model_inputs(known).select("inputs", "label").persist(StorageLevel.MEMORY_AND_DISK)
     regressor = GBTRegressor(featuresCol="inputs", labelCol="label", seed=SEED)
     search = CrossValidator(
         estimator=regressor,
@@ -123,10 +130,7 @@ def train_forecast(features: DataFrame, model_path: str | None = None, paralleli
     model = fitted.bestModel
     if model_path:
         model.write().overwrite().save(model_path)
-    scored = model.transform(
-        assembler.transform(newest.na.fill(0.0, MODEL_INPUTS[:2]).na.fill(0, MODEL_INPUTS[2:]))
-    )
-    forecasts = scored.select("item_id", F.greatest("prediction", F.lit(0.0)).alias("forecast_demand"))
+    forecasts = score_forecast(model, newest)
     report = spark.range(1).select(
         F.lit(model.getOrDefault("maxDepth")).alias("max_depth"),
         F.lit(model.getOrDefault("maxIter")).alias("max_iter"),

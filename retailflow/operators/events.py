@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from retailflow.functions.numeric import as_double, as_long
 from retailflow.schemas import EVENT_TYPES, SILVER_COLUMNS
+from retailflow.session import written
 
 
 def event_timestamp(df: DataFrame, name: str = "event_time") -> Column:
@@ -115,6 +116,36 @@ def campaign_multiplier(ts: Column, windows: Sequence[CampaignWindow]) -> Column
     return F.lit(1.0) if choice is None else choice.otherwise(F.lit(1.0))
 
 
+#: Length of the bins that meet times and windows: a day.
+CAMPAIGN_BIN_SECONDS = 24 * 60 * 60
+#: Bins whose windows are broadcast.
+FEW_BINS = 100_000
+
+
+def with_campaigns(
+    events: DataFrame, windows: DataFrame, moment: Column, bin_seconds: int = CAMPAIGN_BIN_SECONDS
+) -> DataFrame:
+    """Adds ``multiplier``: that of the first window, by ``ordinal``, that holds the moment, both ends included, else 1.
+
+    ``windows`` [ordinal, start, end, multiplier] is a table of any size. Windows are cut into bins of time, each
+    bin lists its windows in order, and events meet the list of their bin: an equi-join that never multiplies
+    events, with the exact ends checked afterwards. Windows that end before they start, or lack an end, hold nothing;
+    events without a moment get 1. Windows shorter than a bin are in two lists at most, long ones in one for each
+    bin they reach.
+    """
+    seconds = lambda ts: F.floor(F.unix_micros(ts) / F.lit(bin_seconds * 1_000_000))
+    whole = windows.where(F.col("start") <= F.col("end"))
+    each = whole.select("*", F.explode(F.sequence(seconds(F.col("start")), seconds(F.col("end")))).alias("_bin"))
+    listed = F.sort_array(F.collect_list(F.struct("ordinal", "start", "end", "multiplier"))).alias("_windows")
+    bins = written(each.groupBy("_bin").agg(listed), "bins")
+    side = F.broadcast(bins) if bins.count() <= FEW_BINS else bins
+    placed = events.withColumn("_moment", moment).withColumn("_bin", seconds(F.col("_moment")))
+    holding = F.filter("_windows", lambda w: F.col("_moment").between(w["start"], w["end"]))
+    first = F.when(F.size(holding) > 0, F.element_at(holding, 1)["multiplier"])
+    joined = placed.join(side, "_bin", "left").withColumn("multiplier", F.coalesce(first, F.lit(1.0)))
+    return joined.select(*events.columns, "multiplier")
+
+
 # ---------------------------------------------------------------- chronological split
 
 _RADIX_BUCKETS = 1 << 16

@@ -17,7 +17,7 @@ from retailflow.paths import Lake
 from retailflow.plans.nightly import run_nightly
 from retailflow.schemas import PRICE_UPDATE, SERVING, TRAFFIC_RECORD
 from retailflow.session import prepare, scratch, written
-from retailflow.sources import files, wire
+from retailflow.sources import files, models, wire
 from retailflow.sources.tables import Tables
 from retailflow.streaming import feeds, metrics, pricing_job
 
@@ -679,8 +679,62 @@ def stream_metrics(t: Tables) -> DataFrame:
 
 @query
 def sales_forecast(t: Tables) -> DataFrame:
-    """Forecast of every item of the sales history: known, finite and not below zero; its value depends on the trees."""
+    """The forecast of the sales history held against what it must do, row by row of checks.
+
+    The trees err less on the days they have seen than the trailing 7-day mean does, forecasts are as many as
+    items, none is negative, and the stored model gives the forecasts of the fresh one.
+    """
     path = scratch(t.spark, "model")
     features = files.write_zone(demand.rolling_features(t.sales()), scratch(t.spark, "features"))
-    scored = demand.train_forecast(features, path)[1]
-    return scored.select("item_id", (F.col("forecast_demand") >= 0).alias("is_demand"))
+    model, fresh, _ = demand.train_forecast(features, path)
+    known, newest = demand.forecast_split(features)
+    again = demand.score_forecast(models.load_forecast(path), newest)
+    error = lambda c: F.sqrt(F.avg((F.col(c) - F.col("label")) * (F.col(c) - F.col("label"))))
+    errors = model.transform(demand.model_inputs(known)).agg((error("prediction") <= error("velocity_7d")).alias("learns"))
+    both = fresh.join(again.withColumnRenamed("forecast_demand", "again"), "item_id", "full")
+    same = F.abs(F.col("forecast_demand") - F.col("again")) < 1e-9
+    checks = both.agg(
+        F.count(F.lit(1)).alias("n_items"),
+        F.coalesce(F.min(F.col("forecast_demand")) >= 0, F.lit(False)).alias("not_negative"),
+        (F.count_if(same) == F.count(F.lit(1))).alias("stored_equals_fresh"),
+    )
+    return checks.crossJoin(F.broadcast(errors))  # one row each
+
+
+@query
+def campaign_join(t: Tables) -> DataFrame:
+    """Clicks with the multiplier of the first of very many windows, one for each part, that holds their time."""
+    clicks, parts = t.clicks(), t.table("part")
+    hours = lambda n: F.make_interval(hours=n.cast("int"))
+    start = F.lit("2024-01-01").cast("timestamp") + hours(F.pmod(F.col("p_partkey") * 37, F.lit(744)))
+    length = F.pmod(F.col("p_partkey"), F.lit(5)) * 2 - 2  # some windows are empty, some a single moment
+    windows = parts.where("p_partkey % 10 = 3 OR p_partkey % 10 = 5").select(
+        F.col("p_partkey").alias("ordinal"), start.alias("start"), (start + hours(length)).alias("end"),
+        (F.pmod(F.col("p_partkey"), F.lit(9)) + 2).cast("double").alias("multiplier"),
+    )
+    joined = events.with_campaigns(clicks, windows, events.event_timestamp(clicks))
+    return joined.select("event_id", "event_time", "multiplier")
+
+
+@query
+def stored_models(t: Tables) -> DataFrame:
+    """Classifier weights from files: a good set, one of wrong shape and none at all, with the surges that each finds."""
+    paths = [scratch(t.spark, name) for name in ("weights", "misshapen", "absent")]
+    good = fixed_weights(lean=SURGING)
+    models.save_weights(t.spark, good, paths[0])
+    models.save_weights(t.spark, good | {"w_head": good["w_head"][:, :-1]}, paths[1])
+    history = written(velocity.feature_history(click_windows(t), HISTORY_TTL), "history")
+    fresh = written(velocity.surge_score(history, good).select("item_id", "window_start", F.col("surge_prob").alias("fresh")), "fresh")
+    found = None
+    for name, path in zip(("good", "misshapen", "absent"), paths, strict=True):
+        weights, report = models.load_weights(t.spark, path)
+        scored = velocity.surge_score(history, weights).join(fresh, ["item_id", "window_start"])
+        counts = scored.agg(
+            F.count(F.lit(1)).alias("n_windows"),
+            F.count_if(F.col("surge_prob") == F.col("fresh")).alias("n_equal"),
+            F.count_if(F.col("surge_prob") == 0).alias("n_zero"),
+        )
+        state = report.where("part = 'all'").select(F.lit(name).alias("model"), "state")
+        rows = state.crossJoin(F.broadcast(counts))  # one row each
+        found = rows if found is None else found.unionByName(rows)
+    return found

@@ -10,11 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailflow.operators.affinity import affinity_graph, co_purchase, elasticity_lists
-from retailflow.operators.demand import build_catalog_price, build_inventory, rolling_features, train_forecast
+from retailflow.operators.demand import (
+    build_catalog_price,
+    build_inventory,
+    forecast_split,
+    rolling_features,
+    score_forecast,
+    train_forecast,
+)
 from retailflow.operators.events import clean_events, validate_silver
 from retailflow.operators.serving import merge_serving, publish_serving
 from retailflow.paths import Lake
 from retailflow.sources.files import read_bronze_events, read_item_properties, write_zone
+from retailflow.sources.models import load_forecast
 
 Forecaster = Callable[[DataFrame, Lake], DataFrame]
 
@@ -26,6 +34,11 @@ def boosted_forecast(features: DataFrame, lake: Lake) -> DataFrame:
     return forecasts
 
 
+def stored_forecast(features: DataFrame, lake: Lake) -> DataFrame:
+    """Forecasts by the model that an earlier run kept in the gold zone; nothing is trained."""
+    return score_forecast(load_forecast(lake.gold("forecast_model")), forecast_split(features)[1])
+
+
 def run_nightly(
     spark: SparkSession,
     lake: Lake,

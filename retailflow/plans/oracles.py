@@ -529,6 +529,29 @@ UNION ALL SELECT 'pricing', 'surge_events', count(*) FILTER (is_surge) FROM deci
 UNION ALL SELECT 'pricing', 'low_stock_alerts', count(*) FILTER (stock < 50) FROM decided""",
     )
     sql["sales_forecast"] = _with(
-        [SALES, sales_features], "SELECT item_id, TRUE AS is_demand FROM sales_features WHERE label IS NULL"
+        [SALES, sales_features],
+        """SELECT count(*) AS n_items, TRUE AS not_negative, TRUE AS stored_equals_fresh, TRUE AS learns
+FROM sales_features WHERE label IS NULL""",
+    )
+    sql["campaign_join"] = _with(
+        [
+            CLICKS,
+            """campaigns AS (
+  SELECT p_partkey AS ordinal, TIMESTAMP '2024-01-01' + to_hours((p_partkey * 37 % 744)::BIGINT) AS start,
+    TIMESTAMP '2024-01-01' + to_hours((p_partkey * 37 % 744 + p_partkey % 5 * 2 - 2)::BIGINT) AS stop,
+    (p_partkey % 9 + 2)::DOUBLE AS multiplier
+  FROM part WHERE p_partkey % 10 IN (3, 5))""",
+            """held AS (
+  SELECT event_id, arg_min(multiplier, ordinal) AS multiplier
+  FROM clicks JOIN campaigns ON make_timestamp(event_time * 1000) BETWEEN start AND stop GROUP BY 1)""",
+        ],
+        "SELECT event_id, event_time, coalesce(multiplier, 1.0) AS multiplier FROM clicks LEFT JOIN held USING (event_id)",
+    )
+    sql["stored_models"] = _with(
+        _BASE + [WINDOWS] if WINDOWS not in _BASE else _BASE,
+        """SELECT model, state, n_windows, CASE model WHEN 'good' THEN n_windows ELSE 0 END AS n_equal,
+  CASE model WHEN 'good' THEN 0 ELSE n_windows END AS n_zero
+FROM (VALUES ('good', 'in use'), ('misshapen', 'fallback 0'), ('absent', 'fallback 0')) AS m(model, state),
+  (SELECT count(*) AS n_windows FROM windows)""",
     )
     return sql
