@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from retailflow.functions.surgenet import surge_probabilities
 from retailflow.operators import demand, events, monitoring, serving
+from retailflow.plans.catalogue import fixed_weights
 from retailflow.schemas import SERVING
+from retailflow.sources import models
 
 BRONZE = "event_time long, visitor_id long, event string, item_id long, price double"
 
@@ -61,6 +66,25 @@ def test_campaigns_first_listed_wins(spark):
     assert [r["m"] for r in out] == [5.0, 2.0, 1.0]
 
 
+@pytest.mark.parametrize("bin_seconds", [60, 3_600, 10**8])
+def test_campaign_windows_of_a_table(spark, bin_seconds):
+    """Overlapping, touching, empty and endless-looking windows; the first listed one wins."""
+    r, start = random.Random(4), dt.datetime(2024, 1, 1)
+    at = lambda minutes: start + dt.timedelta(minutes=minutes)
+    windows = [(k, at(a := r.randrange(3_000)), at(a + r.choice((-30, 0, 1, 45, 700))), float(k + 2)) for k in range(40)]
+    windows += [(40, at(10), at(20), 50.0), (41, at(20), at(30), 60.0), (42, None, at(5), 70.0), (43, at(5), None, 80.0)]
+    r.shuffle(windows)
+    times = [at(r.randrange(3_800)) for _ in range(400)] + [at(20), at(10), at(30), None]
+    table = spark.createDataFrame(windows, "ordinal long, start timestamp, end timestamp, multiplier double")
+    rows = spark.createDataFrame(list(enumerate(times)), "event_id long, t timestamp")
+    found = {x["event_id"]: x["multiplier"] for x in events.with_campaigns(rows, table, F.col("t"), bin_seconds).collect()}
+    assert len(found) == len(times)
+    for k, t in enumerate(times):
+        holding = [w for w in windows if t and w[1] and w[2] and w[1] <= t <= w[2]]
+        assert found[k] == (min(holding)[3] if holding else 1.0)
+    assert events.with_campaigns(rows, table.limit(0), F.col("t")).where("multiplier = 1").count() == len(times)
+
+
 def silver(spark, days):
     rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(days=d, seconds=k), k, "transaction", 10, 1.0) for d, n in days for k in range(n)]
     return spark.createDataFrame(rows, "event_time timestamp, visitor_id long, event string, item_id long, price double")
@@ -84,8 +108,34 @@ def test_forecast_scores_the_newest_day(spark, tmp_path):
     rows = [(i, float(i), float(i), 1 + i % 7, float(i)) for i in range(1, 9)] + [(99, 3.0, 3.0, 2, None)]
     features = spark.createDataFrame(rows, "item_id long, velocity_7d double, velocity_30d double, dow int, label double")
     features = features.withColumns({"ds": F.lit("2024-01-01").cast("date"), "is_weekend": F.lit(False)})
-    scored = demand.train_forecast(features)[1].collect()
+    path = str(tmp_path / "model")
+    scored = demand.train_forecast(features, path)[1].collect()
     assert [r["item_id"] for r in scored] == [99] and scored[0]["forecast_demand"] >= 0
+    again = demand.score_forecast(models.load_forecast(path), demand.forecast_split(features)[1]).collect()
+    assert again == scored
+
+
+def test_weights_are_read_against_their_signature(spark, tmp_path):
+    good, path = fixed_weights(), str(tmp_path / "weights")
+    state = lambda report: {r["part"]: r["state"] for r in report.collect()}
+    models.save_weights(spark, good, path)
+    loaded, report = models.load_weights(spark, path)
+    assert all((loaded[n] == good[n]).all() for n in good) and set(state(report).values()) == {"ok", "in use"}
+    history = np.random.default_rng(0).random((5, 200))
+    assert (surge_probabilities(loaded, history) == surge_probabilities(good, history)).all()
+    wrong = {
+        "w_head": good | {"w_head": good["w_head"].T},
+        "b_input": {n: a for n, a in good.items() if n != "b_input"},
+        "w_input": good | {"w_input": good["w_input"][:, :3]},
+        "b_head": good | {"b_head": np.array([np.nan])},
+    }
+    for part, weights in wrong.items():
+        models.save_weights(spark, weights, path)
+        loaded, report = models.load_weights(spark, path)
+        found = state(report)
+        assert loaded is None and found["all"] == "fallback 0" and found[part] != "ok"
+        assert (surge_probabilities(loaded, history) == 0).all()
+    assert state(models.load_weights(spark, str(tmp_path / "absent"))[1])["w_input"] == "missing"
 
 
 def test_order_violations_count_every_row(spark):
