@@ -4,13 +4,24 @@ from __future__ import annotations
 
 import numpy as np
 
-from retailflow.config import DisplayConfig
+from retailflow.config import MIN_WINDOW_BASELINE, SECONDS_PER_DAY, DisplayConfig, SpeedConfig
 
 
 def _cents(x):
     return np.floor(x * 100 + 0.5) / 100.0
 
 
+def surge_uplift(velocity, daily, elasticity, cfg: SpeedConfig = SpeedConfig()):
+    """(whether demand surges, uplift if it does) of windows; the same arithmetic as the column expressions."""
+    scaled = np.maximum(daily * (cfg.window_seconds / SECONDS_PER_DAY), MIN_WINDOW_BASELINE)
+    baseline = np.where(daily > 0, scaled, 0.0)
+    ratio = np.divide(velocity, baseline, out=np.zeros(len(baseline)), where=baseline > 0)
+    surging = (baseline > 0) & (ratio > cfg.pricing.surge_threshold)
+    independence = 1.0 - np.minimum(np.maximum(elasticity, 0.0), 1.0)
+    raw = cfg.pricing.elasticity_coeff * (ratio - cfg.pricing.surge_threshold) * independence
+    return surging, np.where(surging, np.minimum(raw, cfg.pricing.max_uplift_pct), 0.0)
+
+
 def shown_price(base, lift, cfg: DisplayConfig = DisplayConfig()):
     """Displayed price of a window; the same arithmetic as the column expressions."""
     new = _cents(base * (1.0 + lift))

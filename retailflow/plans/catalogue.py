@@ -14,7 +14,7 @@ from retailflow.config import SpeedConfig
 from retailflow.functions import pricing
 from retailflow.operators import affinity, decisions, demand, events, monitoring, serving, velocity
 from retailflow.paths import Lake
-from retailflow.plans.nightly import run_nightly
+from retailflow.plans.nightly import publish_version, run_nightly
 from retailflow.schemas import PRICE_UPDATE, SERVING, TRAFFIC_RECORD
 from retailflow.session import prepare, scratch, written
 from retailflow.sources import files, models, wire
@@ -31,6 +31,7 @@ SPEED = SpeedConfig(window_seconds=WINDOW_SECONDS, history_ttl_seconds=HISTORY_T
 # A fixed "now" keeps lag numbers repeatable: 2024-02-01T00:00:00Z.
 NOW_MS = 1_706_745_600_000
 LAST_SEEN_MS, LAST_SEEN_ITEM = 1_705_276_800_000, 40  # 2024-01-15T00:00:00Z, in the middle of a page
+HALF = "2024-01-16"  # the clicks before and from here on reach a running job apart
 CAMPAIGNS = (
     events.CampaignWindow("2024-01-05T12:00:00", "2024-01-06T12:00:00", 8.0),
     events.CampaignWindow("2024-01-06T00:00:00", "2024-01-07T00:00:00", 3.0),
@@ -661,6 +662,29 @@ def deduplicated_stream(t: Tables) -> DataFrame:
     return pricing_job.committed(t.spark, root, "updates")
 
 
+@query
+def refreshed_stream(t: Tables) -> DataFrame:
+    """One running job over both halves of the clicks; a version with twice the forecasts is published between them."""
+    lake, root, path = Lake(scratch(t.spark, "lake")), scratch(t.spark, "refreshed"), scratch(t.spark, "wire")
+    first = click_serving(t)
+    publish_version(first, lake)
+    known = t.clicks().select(*TRAFFIC_RECORD.names)
+    early = events.event_timestamp(known) < F.lit(HALF).cast("timestamp")
+    send = lambda rows: wire.encode_records(rows).coalesce(4).write.mode("append").parquet(path)
+    send(known.where(early))
+    live = pricing_job.accepted_events(wire.stream_wire(t.spark, path))
+    versions = pricing_job.published_serving(t.spark, lake.serving("changes"))
+    running = pricing_job.start_pricing(live, versions, root, cfg=SPEED, every="1 second")
+    try:
+        running.processAllAvailable()
+        publish_version(first.withColumn("forecast_demand", F.col("forecast_demand") * 2), lake)
+        send(known.where(~early))
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return pricing_job.committed(t.spark, root, "updates").select("event_time", "item_id", "velocity", "baseline")
+
+
 @query
 def stream_metrics(t: Tables) -> DataFrame:
     """Counters of the running job, component by component, as its listener kept them."""

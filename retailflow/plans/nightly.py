@@ -76,7 +76,10 @@ def run_nightly(
 
 
 def publish_version(rows: DataFrame, lake: Lake) -> DataFrame:
-    """Write a new version of the serving table, then name it in the list of published versions."""
+    """Write a new version of the serving table, then name it in the list of published versions.
+
+    Last its rows go to the changes, which running pricing jobs follow.
+    """
     spark = rows.sparkSession
     known = published_versions(spark, lake)
     number = 1 if known is None else known.agg(F.max("number")).first()[0] + 1
@@ -84,6 +87,7 @@ def publish_version(rows: DataFrame, lake: Lake) -> DataFrame:
     written = write_zone(rows, lake.serving(version))
     entry = spark.range(1).select(F.lit(number).alias("number"), F.lit(version).alias("version"))
     entry.coalesce(1).write.mode("append").parquet(lake.serving("published"))
+    written.withColumn("number", F.lit(number).cast("long")).write.mode("append").parquet(lake.serving("changes"))
     return written
 
 

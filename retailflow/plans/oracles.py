@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from retailflow.plans.catalogue import CAMPAIGNS, HISTORY_TTL, LAST_SEEN_ITEM, LAST_SEEN_MS, NOW_MS, WINDOW_SECONDS
+from retailflow.plans.catalogue import CAMPAIGNS, HALF, HISTORY_TTL, LAST_SEEN_ITEM, LAST_SEEN_MS, NOW_MS, WINDOW_SECONDS
 
 WINDOW_LABEL = f"{WINDOW_SECONDS}s"
 
@@ -520,6 +520,14 @@ FROM windows GROUP BY item_id""",
     )
     sql["follow_updates"] = sql["pricing_stream"]
     sql["deduplicated_stream"] = sql["pricing_stream"]
+    sql["refreshed_stream"] = _with(
+        [*_BASE, STREAM_EVENTS, stream_windows, STREAM_WALK, closed, *_SERVING[3:]],
+        f"""SELECT epoch_us(window_end) // 1000 AS event_time, item_id, windows.velocity::DOUBLE AS velocity,
+  coalesce(forecast_demand, 0.0) * CASE WHEN window_end <= (
+    SELECT max(make_timestamp(event_time * 1000)) - INTERVAL '2 minutes' FROM clicks
+    WHERE {_KNOWN} AND make_timestamp(event_time * 1000) < TIMESTAMP '{HALF}') THEN 1 ELSE 2 END AS baseline
+FROM windows LEFT JOIN serving USING (item_id)""",
+    )
     sql["stream_metrics"] = _with(
         [*_BASE, STREAM_EVENTS, stream_windows, STREAM_WALK, closed, *_SERVING[3:], _surge("0.0"), WALK],
         f"""SELECT 'ingest' AS component, 'records_processed' AS metric, count(*) FILTER ({_KNOWN}) AS value FROM clicks

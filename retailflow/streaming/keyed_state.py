@@ -15,7 +15,7 @@ from retailflow.config import (
     SURGE_PROBABILITY,
     SpeedConfig,
 )
-from retailflow.functions.pricefold import carry_base_prices
+from retailflow.functions.pricefold import carry_base_prices, surge_uplift
 from retailflow.functions.surgenet import surge_probabilities
 
 DECISION = T.StructType(
@@ -51,47 +51,111 @@ def history_rows(begins: np.ndarray) -> np.ndarray:
     return np.maximum(ends[:, None] + back, np.maximum(begins, ends + back[0])[:, None])
 
 
+#: Columns of closed windows that the state needs, and of serving rows.
+WINDOW_NUMBERS = ("velocity", "view_count", "addtocart_count", "last_price")
+LOOKED_UP = ("stored_price", "forecast_demand", "max_elasticity", "stock")
+_SERVED = T.StructType([T.StructField("number", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in LOOKED_UP]])
+
+
 class ItemPricing(StatefulProcessor):
-    """Walks the closed windows of one item in time order."""
+    """Walks the closed windows of one item in time order.
 
-    def __init__(self, weights: dict | None, cfg: SpeedConfig):
+    With ``keeps_serving`` the input also has rows of published serving versions (those with a ``number`` and
+    no window). The newest version that a batch before has read is the one that windows are priced with, so
+    a version takes effect with the batch after it appears, and the job need not start again.
+
+    A backlog of any length is held as a few numbers a window and handled in pieces of ``SCORED_AT_ONCE``,
+    each of which carries history and price on to the next.
+    """
+
+    def __init__(self, weights: dict | None, cfg: SpeedConfig, keeps_serving: bool = False):
         self.weights = weights
         self.cfg = cfg
+        self.keeps_serving = keeps_serving
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.history = handle.getValueState("history", _HISTORY)
         self.price = handle.getValueState("price", _PRICE)
+        if self.keeps_serving:
+            self.served = handle.getValueState("served", _SERVED)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        windows = pd.concat(list(rows)).sort_values("window_start", kind="stable").reset_index(drop=True)
-        prob = self._score(windows)
-        surging = (prob >= SURGE_PROBABILITY) & windows["can_surge"].to_numpy(dtype=bool)
-        lift = np.where(surging, windows["surge_uplift"].to_numpy(dtype="float64"), 0.0)
-        stored = self.price.get() if self.price.exists() else None
-        base, shown, _ = carry_base_prices(
-            windows["item_id"].to_numpy(),
-            windows["last_price"].to_numpy(dtype="float64", na_value=np.nan),
-            windows["stored_price"].to_numpy(dtype="float64", na_value=np.nan),
-            lift,
-            self.cfg.display,
-            None if stored is None else (key[0], stored[0]),
-        )
-        self.price.update((float(shown[-1]),))
-        yield pd.DataFrame(
-            {
-                "item_id": windows["item_id"],
-                "window_start": windows["window_start"],
-                "window_end": windows["window_end"],
-                "velocity": windows["velocity"],
-                "base_price": base,
-                "baseline": windows["baseline"],
-                "surge_prob": prob,
-                "is_surge": surging,
-                "uplift": lift,
-                "stock": windows["stock"].astype("Int32"),
-            }
-        )
+        parts, newest = [], None
+        for frame in rows:
+            if self.keeps_serving:
+                versions = frame[frame["number"].notna()]
+                if len(versions):
+                    row = versions.loc[versions["number"].idxmax()]
+                    if newest is None or row["number"] > newest[0]:
+                        newest = (int(row["number"]), *[None if pd.isna(row[c]) else float(row[c]) for c in LOOKED_UP])
+                frame = frame[frame["number"].isna()]
+            if len(frame):
+                parts.append(self._compact(frame))
+        if parts:
+            yield from self._priced(key[0], {c: np.concatenate([p[c] for p in parts]) for c in parts[0]})
+        if newest is not None and (not self.served.exists() or self.served.get()[0] < newest[0]):
+            self.served.update(newest)
+
+    def _compact(self, frame: pd.DataFrame) -> dict[str, np.ndarray]:
+        """The numbers of a frame's windows."""
+        number = lambda c: frame[c].to_numpy(dtype="float64", na_value=np.nan)
+        out = {c: number(c) for c in WINDOW_NUMBERS}
+        for c in ("window_start", "window_end"):
+            out[c] = frame[c].to_numpy(dtype="datetime64[us]")
+        if self.keeps_serving:
+            return out
+        for c in ("stored_price", "baseline", "surge_uplift", "stock"):
+            out[c] = number(c)
+        out["can_surge"] = frame["can_surge"].to_numpy(dtype=bool)
+        return out
+
+    def _looked_up(self, windows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        """What the serving values in the state say about each window."""
+        values = self.served.get()[1:] if self.served.exists() else (None,) * len(LOOKED_UP)
+        stored, daily, elasticity, stock = (np.nan if v is None else v for v in values)
+        baseline = np.full(len(windows["velocity"]), 0.0 if np.isnan(daily) else daily)
+        can, lift = surge_uplift(windows["velocity"], baseline, 0.0 if np.isnan(elasticity) else elasticity, self.cfg)
+        same = lambda v: np.full(len(baseline), v)
+        return {"stored_price": same(stored), "baseline": baseline, "can_surge": can, "surge_uplift": lift, "stock": same(stock)}
+
+    def _priced(self, item: int, windows: dict[str, np.ndarray]) -> Iterator[pd.DataFrame]:
+        """Decisions of all windows, in time order; history and price are kept for the next batch."""
+        if self.keeps_serving:
+            windows |= self._looked_up(windows)
+        order = np.argsort(windows["window_start"], kind="stable")
+        known, last_start = np.zeros((0, HISTORY_FEATURES)), None
+        if self.history.exists():
+            last_start, flat = self.history.get()
+            known = np.asarray(flat, dtype="float64").reshape(-1, HISTORY_FEATURES)
+            self.handle.deleteTimer(self._expiry_ms(last_start))
+        shown = self.price.get()[0] if self.price.exists() else None
+        for low in range(0, len(order), SCORED_AT_ONCE):
+            part = {c: v[order[low : low + SCORED_AT_ONCE]] for c, v in windows.items()}
+            prob, known, last_start = self._score(part, known, last_start)
+            surging = (prob >= SURGE_PROBABILITY) & part["can_surge"]
+            lift = np.where(surging, part["surge_uplift"], 0.0)
+            items = np.full(len(prob), item)
+            carried = None if shown is None else (item, shown)
+            base, prices, _ = carry_base_prices(items, part["last_price"], part["stored_price"], lift, self.cfg.display, carried)
+            shown = float(prices[-1])
+            yield pd.DataFrame(
+                {
+                    "item_id": items,
+                    "window_start": part["window_start"],
+                    "window_end": part["window_end"],
+                    "velocity": part["velocity"].astype("int64"),
+                    "base_price": base,
+                    "baseline": part["baseline"],
+                    "surge_prob": prob,
+                    "is_surge": surging,
+                    "uplift": lift,
+                    "stock": pd.array(part["stock"], dtype="Float64").astype("Int32"),
+                }
+            )
+        self.price.update((shown,))
+        self.history.update((last_start, known.ravel().tolist()))
+        self.handle.registerTimer(self._expiry_ms(last_start))
 
     def _expiry_ms(self, last_start: int) -> int:
         """Once the watermark is here, every later window starts after the history's lifetime."""
@@ -102,33 +166,18 @@ class ItemPricing(StatefulProcessor):
         self.history.clear()
         return iter(())
 
-    def _score(self, windows: pd.DataFrame) -> np.ndarray:
-        """Surge probability of each window from its item's history, which is kept for the next batch."""
-        known = np.zeros((0, HISTORY_FEATURES))
-        last_start = None
-        if self.history.exists():
-            last_start, flat = self.history.get()
-            known = np.asarray(flat, dtype="float64").reshape(-1, HISTORY_FEATURES)
-            self.handle.deleteTimer(self._expiry_ms(last_start))
-        counts = windows[["velocity", "view_count", "addtocart_count"]].to_numpy(dtype="float64")
+    def _score(self, windows: dict, known: np.ndarray, last_start: int | None) -> tuple[np.ndarray, np.ndarray, int]:
+        """Surge probability of each window from the history before it; the history after them, and its end."""
+        counts = np.stack([windows[c] for c in ("velocity", "view_count", "addtocart_count")], axis=1)
         steps = np.vstack([known, np.pad(counts, ((0, 0), (0, HISTORY_FEATURES - counts.shape[1])))])
-        starts = windows["window_start"].astype("datetime64[s]").astype("int64").to_numpy()
+        starts = windows["window_start"].astype("datetime64[s]").astype("int64")
         silence = np.diff(starts, prepend=starts[0] if last_start is None else last_start)
         old = len(known)
         fresh = np.where(silence > self.cfg.history_ttl_seconds, np.arange(old, len(steps)), 0)
         begins = np.concatenate([np.zeros(old, dtype="int64"), np.maximum.accumulate(fresh)])
-        prob = np.empty(len(windows))
-        for low in range(0, len(windows), SCORED_AT_ONCE):
-            high = min(low + SCORED_AT_ONCE, len(windows))
-            # Rows before these that their histories can reach.
-            reach = max(0, old + low - HISTORY_STEPS)
-            rows = history_rows(begins[reach : old + high] - reach) + reach
-            flat = steps[rows[old + low - reach :]].reshape(high - low, -1)
-            prob[low:high] = surge_probabilities(self.weights, flat)
+        flat = steps[history_rows(begins)[old:]].reshape(len(starts), -1)
         kept = steps[max(begins[-1], len(steps) - HISTORY_STEPS) :]
-        self.history.update((int(starts[-1]), kept.ravel().tolist()))
-        self.handle.registerTimer(self._expiry_ms(int(starts[-1])))
-        return prob
+        return surge_probabilities(self.weights, flat), kept, int(starts[-1])
 
     def close(self) -> None:
         pass

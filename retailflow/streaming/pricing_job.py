@@ -1,8 +1,9 @@
 """The pricing stream: wire records to price updates, alerts, orders and live serving values.
 
-The serving table is read once when the job starts. Nightly runs publish new versions beside the old
-ones, so a running job keeps its files; it sees a new version when it is started again from its
-checkpoint with the version's table.
+The serving table comes in one of two forms. As a table it is read when the job starts, and a new version
+is seen when the job is started again from its checkpoint. As the stream of published versions
+(``published_serving``) its values are kept in the state of each item, so a running job prices with the
+newest version from the batch after it is published.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from retailflow.operators.decisions import (
 from retailflow.operators.serving import live_serving
 from retailflow.operators.velocity import windowed_velocity, with_times
 from retailflow.operators.monitoring import observed
-from retailflow.schemas import ALERT, EVENT_TYPES, ORDER, PRICE_UPDATE, TRAFFIC_RECORD
+from retailflow.schemas import ALERT, EVENT_TYPES, ORDER, PRICE_UPDATE, SERVING, TRAFFIC_RECORD
 from retailflow.session import prepare
 from retailflow.sources.wire import decode_records
 from retailflow.streaming.commits import CommitLog
@@ -76,17 +77,23 @@ class StreamPaths:
 def priced_stream(
     events: DataFrame, serving: DataFrame, weights: dict | None, cfg: SpeedConfig = SpeedConfig()
 ) -> DataFrame:
-    """Decisions of closed windows: windowed counts, serving lookup, keyed state, presentation."""
+    """Decisions of closed windows: windowed counts, serving lookup, keyed state, presentation.
+
+    ``serving`` is a table, or the stream of ``published_serving``.
+    """
     prepare(events.sparkSession)
     timely = with_times(events).withWatermark("event_time", cfg.watermark)
     if cfg.deduplicate:
         timely = timely.dropDuplicatesWithinWatermark(SILVER_KEY)
-    looked_up = with_lookups(windowed_velocity(timely, cfg.window_seconds), serving)
-    # All but the classifier's part of the surge test is known before the state is.
-    certain = with_surge(looked_up, F.lit(1.0), cfg.window_seconds, cfg.pricing)
-    windows = certain.withColumnsRenamed({"is_surge": "can_surge", "uplift": "surge_uplift"})
+    counts = windowed_velocity(timely, cfg.window_seconds)
+    if serving.isStreaming:
+        windows = counts.unionByName(serving.where("item_id IS NOT NULL"), allowMissingColumns=True)
+    else:
+        # All but the classifier's part of the surge test is known before the state is.
+        certain = with_surge(with_lookups(counts, serving), F.lit(1.0), cfg.window_seconds, cfg.pricing)
+        windows = certain.withColumnsRenamed({"is_surge": "can_surge", "uplift": "surge_uplift"})
     decided = windows.groupBy("item_id").transformWithStateInPandas(
-        statefulProcessor=ItemPricing(weights, cfg),
+        statefulProcessor=ItemPricing(weights, cfg, serving.isStreaming),
         outputStructType=DECISION,
         outputMode="Append",
         timeMode="EventTime",
@@ -99,6 +106,19 @@ def priced_stream(
     return counted(present_decisions(decided, cfg.display), "pricing", rules)
 
 
+def published_serving(spark: SparkSession, changes: str) -> DataFrame:
+    """Stream of the rows of published serving versions, as the state takes them, from the folder that lists them."""
+    rows = spark.readStream.schema(T.StructType([*SERVING.fields, T.StructField("number", T.LongType())])).parquet(changes)
+    return rows.select(
+        "item_id",
+        "number",
+        F.col("price").alias("stored_price"),
+        "forecast_demand",
+        "max_elasticity",
+        F.col("stock").cast("double").alias("stock"),
+    )
+
+
 def write_batch(root: str, cfg: SpeedConfig, compact_every: int = COMPACT_EVERY):
     """foreachBatch body: one pass over the decisions, all outputs committed together.
 
@@ -158,10 +178,11 @@ def start_pricing(
     weights: dict | None = None,
     cfg: SpeedConfig = SpeedConfig(),
     once: bool = False,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Start the job; ``once`` drains what is there and stops, else a trigger per window length."""
+    """Start the job; ``once`` drains what is there and stops, else a trigger ``every`` so often, or per window length."""
     paths = StreamPaths(root)
-    trigger = {"availableNow": True} if once else {"processingTime": f"{cfg.window_seconds} seconds"}
+    trigger = {"availableNow": True} if once else {"processingTime": every or f"{cfg.window_seconds} seconds"}
     return (
         priced_stream(events, serving, weights, cfg)
         .writeStream.outputMode("append")

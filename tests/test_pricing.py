@@ -4,20 +4,23 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from datetime import datetime, timezone
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from retailflow.config import DisplayConfig
+from retailflow.config import DisplayConfig, SpeedConfig
 from retailflow.functions import pricing
-from retailflow.functions.pricefold import carry_base_prices, shown_price
+from retailflow.functions.pricefold import carry_base_prices, shown_price, surge_uplift
 from retailflow.functions.surgenet import surge_probabilities
+from retailflow.operators import decisions
 from retailflow.operators.decisions import replay_prices
 from retailflow.operators.velocity import feature_history
 from retailflow.plans.catalogue import fixed_weights
-from retailflow.streaming.keyed_state import history_rows
+from retailflow.streaming.keyed_state import LOOKED_UP, ItemPricing, history_rows
 
 
 def value(spark, column):
@@ -152,3 +155,97 @@ def test_price_walk_does_not_depend_on_pieces(spark, block, cfg):
     assert len(got) == len(rows)
     for r, b, s in zip(rows, base, shown, strict=True):
         assert got[r[0], r[1].timestamp()] == (b, s)
+
+
+def test_surge_arithmetic_is_that_of_the_columns(spark):
+    r = random.Random(11)
+    rows = [(float(r.randrange(40)), r.choice((0.0, 1.0, 300.0, 9_000.0, r.uniform(0, 5_000))), r.choice((0.0, 0.4, 1.7))) for _ in range(400)]
+    table = spark.createDataFrame(rows, "velocity double, forecast_demand double, max_elasticity double")
+    want = decisions.with_surge(table, F.lit(1.0), 60).collect()
+    for row, (v, d, e) in zip(want, rows, strict=True):
+        surging, lift = surge_uplift(np.array([v]), np.array([d]), e)
+        assert (surging[0], lift[0]) == (row["is_surge"], row["uplift"])
+
+
+class Kept:
+    """A state value, or the handle that gives them, in memory."""
+
+    def __init__(self):
+        self.value, self.values = None, {}
+
+    def getValueState(self, name, schema):
+        return self.values.setdefault(name, Kept())
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        pass
+
+    def deleteTimer(self, at):
+        pass
+
+
+def windows_of(n, r):
+    start = np.datetime64("2024-01-01", "us") + np.cumsum(r.choice([60, 60, 60, 9_000], n)).astype("timedelta64[s]")
+    number = lambda low, high: r.integers(low, high, n)
+    return pd.DataFrame(
+        {
+            "window_start": start, "window_end": start + np.timedelta64(60, "s"), "velocity": number(0, 90),
+            "view_count": number(0, 9), "addtocart_count": number(0, 9), "baseline": 5.0, "stock": 7.0, "can_surge": r.random(n) < 0.2,
+            "surge_uplift": 0.1, "stored_price": 20.0, "last_price": np.where(r.random(n) < 0.01, r.uniform(5, 50, n), np.nan),
+        }
+    )
+
+
+def test_a_backlog_needs_the_memory_of_its_numbers():
+    """200,000 windows of one item, in any order, priced as in small batches; decisions leave in pieces."""
+    r, weights = np.random.default_rng(3), fixed_weights(units=2)
+    whole = windows_of(200_000, r)
+    frames = lambda table: iter([table.iloc[k : k + 10_000] for k in range(0, len(table), 10_000)])
+
+    def run(batches):
+        processor, out = ItemPricing(weights, SpeedConfig()), []
+        processor.init(Kept())
+        for batch in batches:
+            for piece in processor.handleInputRows((1,), batch, None):
+                assert len(piece) <= 2_048
+                out.append(piece[["window_start", "base_price", "surge_prob", "is_surge"]])
+        return pd.concat(out).reset_index(drop=True)
+
+    want = run(iter([whole.iloc[k : k + 1_500]]) for k in range(0, len(whole), 1_500))
+    mixed = whole.sample(frac=1.0, random_state=1)
+    got = run([frames(mixed)])
+    assert got["window_start"].equals(want["window_start"]) and got["base_price"].equals(want["base_price"])
+    assert np.allclose(got["surge_prob"], want["surge_prob"], atol=1e-6)
+    processor = ItemPricing(None, SpeedConfig())
+    processor.init(Kept())
+    tracemalloc.start()
+    for _ in processor.handleInputRows((1,), frames(mixed), None):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200_000 * 8 * 11 * 3.5  # the numbers, once in parts, once joined, and a piece
+
+
+def test_versions_take_effect_with_the_next_batch():
+    processor, r = ItemPricing(None, SpeedConfig(), keeps_serving=True), np.random.default_rng(4)
+    processor.init(Kept())
+    table = windows_of(30, r)[["window_start", "window_end", "velocity", "view_count", "addtocart_count"]].assign(last_price=np.nan)
+    serving = lambda *rows: pd.DataFrame(rows, columns=["number", *LOOKED_UP])
+    batch = lambda *frames: pd.concat(processor.handleInputRows((1,), iter(frames), None))
+    assert not list(processor.handleInputRows((1,), iter([serving((1, 20.0, 5.0, None, 3.0))]), None))
+    one = batch(pd.concat([table[:10].assign(number=None), serving((3, 90.0, 7.0, 0.5, None), (2, 1.0, 1.0, 1.0, 1.0))]))
+    assert set(one["baseline"]) == {5.0} and one["base_price"].iloc[0] == 20.0 and set(one["stock"]) == {3}
+    two = batch(table[10:20].assign(number=None), serving((2, 1.0, 1.0, 1.0, 1.0)))
+    assert set(two["baseline"]) == {7.0} and two["base_price"].iloc[0] == one["base_price"].iloc[-1] and two["stock"].isna().all()
+    assert set(batch(table[20:].assign(number=None))["baseline"]) == {7.0}
