@@ -34,6 +34,21 @@ def test_bad_records_keep_bytes_and_reason(spark):
     assert wire.parse_events(good.unionByName(bad)).count() == 1
 
 
+def test_bounded_read_of_staged_records(spark, tmp_path):
+    """The bounded read and a drained stream of the same files give the same events."""
+    path = str(tmp_path / "wire")
+    for k in range(3):
+        records(spark, [(1_000 * k + i, i, "view", 10 + i, None) for i in range(5)]).write.mode("append").parquet(path)
+    bounded = wire.parse_events(wire.read_wire(spark, path))
+    running = (
+        wire.parse_events(wire.stream_wire(spark, path, max_files=1))
+        .writeStream.format("memory").queryName("drained").trigger(availableNow=True).start()
+    )
+    pricing_job.drain(running)
+    assert running.recentProgress and sum(p["numInputRows"] > 0 for p in running.recentProgress) == 3
+    assert sorted_rows(bounded) == sorted_rows(spark.table("drained")) and bounded.count() == 15
+
+
 @pytest.fixture(scope="module")
 def serving_rows(spark):
     rows = [(10, 5.0, 0.2, None, 5, 20.0, None, None), (20, 500.0, None, None, 500, 30.0, None, None)]
