@@ -118,7 +118,7 @@ FROM ruled JOIN scores USING (text), bound
 # Quality cutoffs: chances of so few rejections or fewer are summed from logarithms of factorials.
 QUALITY_RULES = r"""
 WITH words AS (
-  SELECT doc_id, coalesce(lang, '?') AS lang, coalesce(text, '') AS text,
+  SELECT doc_id, coalesce('=' || lang, '') AS lang, coalesce(text, '') AS text,
     coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
   FROM documents
 ), windows AS (

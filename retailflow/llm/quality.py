@@ -102,7 +102,7 @@ def with_strata(rows: DataFrame) -> DataFrame:
         f"step_{rule}": F.least(F.ceil(F.col(part) * GRID / F.greatest(F.col(whole), F.lit(1))), F.lit(GRID)).cast("int")
         for rule, (part, whole) in RULES.items()
     }
-    return rows.withColumns({"stratum": F.coalesce(F.col("lang"), F.lit("?")), **steps})
+    return rows.withColumns({"stratum": F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("")), **steps})
 
 
 def binomial_bound_holds(rejected: int, n: int, rate: float, delta: float) -> bool:
