@@ -39,8 +39,8 @@ WIDTH, PERCENT = 5, 80
 DIFFERING, SHARED_KEY, KEYS = 0.1515, 0.605, 5.3
 RECALL, OCCUPANCY = 0.985, 256
 RADIUS = 20
-#: Near pairs a row above which a bucket gives links to its first rows only, and the number of these.
-DENSE, LEADS = 8, 32
+#: Near pairs a row, beside a few, above which a bucket gives links to its first rows only, and the number of these.
+DENSE, FEW_PAIRS, LEADS = 2, 16, 32
 #: Rows of a bucket that a task holds; a longer one is read in parts.
 HELD = 16_384
 #: Comparisons of a bucket that are made in one place.
@@ -180,7 +180,7 @@ def bucket_pairs(key, fp, n) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     new = np.r_[True, key[1:] != key[:-1]]
     bucket = np.cumsum(new) - 1
     first = np.flatnonzero(new)
-    start, most = first[bucket], DENSE * np.diff(np.r_[first, len(key)])
+    start, most = first[bucket], DENSE * np.diff(np.r_[first, len(key)]) + FEW_PAIRS
     rows = np.flatnonzero(np.arange(len(key)) > start)
     found = np.zeros(len(first), np.int64)
     left, right, place = [], [], 0

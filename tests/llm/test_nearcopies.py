@@ -59,6 +59,7 @@ def test_pairs_of_similarity_08_share_a_key(texts):
 
 def test_pairs_of_buckets(monkeypatch):
     monkeypatch.setattr(nearcopies, "DENSE", 1)
+    monkeypatch.setattr(nearcopies, "FEW_PAIRS", 0)
     monkeypatch.setattr(nearcopies, "LEADS", 2)
     key = np.array([1, 1, 1, 2, 3, 3, 3, 3, 3])
     fp, n = np.zeros(9, np.uint64), np.full(9, 10)
@@ -88,7 +89,7 @@ def edited_texts():
 @pytest.mark.parametrize("law", ["plain", "dense", "long"])
 def test_copies_with_changed_words_go(spark, monkeypatch, law):
     if law == "dense":  # all buckets give links to their first rows at first
-        for name, value in (("DENSE", 0), ("LEADS", 2), ("PIECE", 50)):
+        for name, value in (("DENSE", 0), ("FEW_PAIRS", 0), ("LEADS", 2), ("PIECE", 50)):
             monkeypatch.setattr(nearcopies, name, value)
     if law == "long":  # buckets do not fit
         for name, value in (("HELD", 4), ("LEADS", 2)):
