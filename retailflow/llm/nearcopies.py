@@ -11,8 +11,8 @@ keys grow with the logarithm of the table, and as many segments as bring the cha
 
 What meets in a bucket is compared by one fingerprint that is part of no key, then by all bits of both texts, and what is
 left is verified by its shingles exactly. Groups are the components of verified pairs. First, each
-text is verified against the nearest text it met and one more. Then the other near pairs follow that are not in one
-component yet. A bucket with very many near pairs gives only links to its first rows at first; afterwards its rows
+text is verified against the nearest text it met and one more; ``ROUNDS`` times over, with texts of other components than its
+own. Then the other near pairs follow that are not in one component yet. A bucket with very many near pairs gives only links to its first rows at first; afterwards its rows
 outside its largest component are compared with all its rows, in pieces. So a large group costs time in
 proportion to its size, and no pair of different components is left out.
 """
@@ -41,6 +41,10 @@ RECALL, OCCUPANCY = 0.985, 256
 RADIUS = 20
 #: Near pairs a row, beside a few, above which a bucket gives links to its first rows only, and the number of these.
 DENSE, FEW_PAIRS, LEADS = 2, 16, 32
+#: Rounds in which each text is verified against two texts of other components before all other pairs are.
+ROUNDS = 2
+#: Words of 64 bits of the bitmap of a set.
+BIT_WORDS = 64
 #: Rows of a bucket that a task holds; a longer one is read in parts.
 HELD = 16_384
 #: Comparisons of a bucket that are made in one place.
@@ -121,17 +125,36 @@ def shingle_set(text: str) -> np.ndarray:
     return np.unique(shingle_hashes(text, WIDTH))
 
 
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    """The bits that the hashes of a set fall on."""
+    bits = np.zeros(64 * BIT_WORDS, np.uint8)
+    bits[(hashes >> np.uint64(40)).astype(np.int64) % len(bits)] = 1
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
+def _may_be_alike(left: str, right: str) -> Column:
+    """Whether the bitmaps allow the similarity.
+
+    Common shingles lie on common bits, and those that share a bit with another one of their own set are ``extra``:
+    the common bits and the lesser extra bound the intersection from above.
+    """
+    common = " + ".join(f"bit_count({left}.bits[{k}] & {right}.bits[{k}])" for k in range(BIT_WORDS))
+    most = f"least({common} + least({left}.extra, {right}.extra), {left}.n, {right}.n)"
+    return F.expr(f"{100 + PERCENT} * {most} >= {PERCENT} * ({left}.n + {right}.n)")
+
+
 def printed(docs: DataFrame, plan: Layout) -> DataFrame:
-    """[id, prints, n] of each distinct text of ``docs`` [id, text]: its fingerprints and number of shingles."""
+    """[id, prints, n, bits] of each distinct text of ``docs`` [id, text]: fingerprints, number of shingles and bitmap."""
     number = plan.prints
 
     def described(text: str) -> tuple:
         hashes = shingle_set(text)
-        return prints(hashes, number).view(np.int64).tolist(), len(hashes)
+        return prints(hashes, number).view(np.int64).tolist(), len(hashes), bitmap(hashes).tolist()
 
     start = lambda: lambda texts: [described(text) for text in texts]
-    made = map_rows(docs, "text", (("prints", "array<long>"), ("n", "int")), start, ["id"])
-    return made.groupBy("id").agg(F.max("prints").alias("prints"), F.max("n").alias("n"))
+    fields = (("prints", "array<long>"), ("n", "int"), ("bits", "array<long>"))
+    made = map_rows(docs, "text", fields, start, ["id"])
+    return made.groupBy("id").agg(*[F.max(c).alias(c) for c in ("prints", "n", "bits")])
 
 
 def segment_keys(words: np.ndarray, plan: Layout) -> tuple[np.ndarray, np.ndarray]:
@@ -281,9 +304,11 @@ def outsider_pairs(rows: DataFrame, classes: DataFrame, roots: DataFrame, plan:
     """[a, b]: near pairs of different components in the buckets of ``rows`` [key, id, n].
 
     Of such a pair one text at least is outside the largest component of the bucket: these are compared
-    with all rows of the bucket, in pieces, by all bits of both.
+    with all rows of the bucket, in pieces, by all bits of both and by bitmaps of their sets.
     """
-    known = rows.select("key", "id", "n").join(classes.select("id", "prints"), "id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    extra = F.expr("n - aggregate(bits, 0, (s, x) -> s + bit_count(x))").alias("extra")
+    sides = classes.select("id", "prints", "bits", extra)
+    known = rows.select("key", "id", "n").join(sides, "id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     known = stored(known, "dense_rows")
     cells = known.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
     sizes = cells.groupBy("key").agg(F.sum("c").alias("size"), F.max(F.struct("c", "root")).alias("most"))
@@ -297,12 +322,19 @@ def outsider_pairs(rows: DataFrame, classes: DataFrame, roots: DataFrame, plan:
     right = placed.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     once = (F.col("r.root") == F.col("r.largest")) | (F.col("l.id") < F.col("r.id"))
     near = F.expr(f"100 * least(l.n, r.n) >= {PERCENT} * greatest(l.n, r.n)")
-    near = near & (_distance("l.prints", "r.prints", plan) <= plan.most_bits)
+    near = near & (_distance("l.prints", "r.prints", plan) <= plan.most_bits) & _may_be_alike("l", "r")
     same = (F.col("l.key") == F.col("r.key")) & (F.col("l.piece") == F.col("r.piece"))
     met = left.alias("l").join(right.alias("r"), same & (F.col("l.root") != F.col("r.root")) & once & near)
     return met.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
 
 
+def _apart(near: DataFrame, tried: DataFrame, roots: DataFrame) -> DataFrame:
+    """The ``near`` pairs [a, b, d] of different components that were not tried."""
+    sides = [roots.select(F.col("id").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b")]
+    both = near.join(sides[0], "a", "left").join(sides[1], "b", "left")
+    return both.where("NOT coalesce(root_a, a) = coalesce(root_b, b)").select("a", "b", "d").join(tried, ["a", "b"], "left_anti")
+
+
 def _roots(links: DataFrame, name: str) -> DataFrame:
     return stored(components(links).withColumnRenamed("node", "id"), name)
 
@@ -315,12 +347,16 @@ def near_copies(docs: DataFrame) -> DataFrame:
     met = stored(bucket_links(keyed(classes, plan)), "met")
     pairs = met.where("key IS NULL").select("a", "b").distinct()
     near = stored(_near_pairs(pairs, classes, plan), "near")
-    tried = stored(first_tries(near), "tried")
-    links = stored(verified(tried, rows, shingle_set, PERCENT), "links")
-    roots = _roots(links, "roots")
-    sides = [roots.select(F.col("id").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b")]
-    apart = near.join(sides[0], "a", "left").join(sides[1], "b", "left")
-    apart = apart.where("NOT coalesce(root_a, a) = coalesce(root_b, b)").select("a", "b")
+    links, tried = None, None
+    for number in range(ROUNDS):
+        tries = first_tries(near if links is None else _apart(near, tried, roots))
+        tries = stored(tries, f"tries{number}")
+        if links is not None and tries.isEmpty():
+            break
+        good = stored(verified(tries, rows, shingle_set, PERCENT), f"links{number}")
+        links, tried = (good, tries) if links is None else (links.unionByName(good), tried.unionByName(tries))
+        roots = _roots(links, "roots")
+    apart = _apart(near, tried, roots).select("a", "b")
     dense = stored(met.where("key IS NOT NULL").select("key").distinct(), "dense")
     if not dense.isEmpty():
         again = keyed(classes, plan).join(broadcast_up_to(dense, FEW), "key", "left_semi")
