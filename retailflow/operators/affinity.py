@@ -21,23 +21,42 @@ LIST_PART = 10_000  # related ids that one list row covers
 def pair_counts(transactions: DataFrame, basket_slice: int = BASKET_SLICE) -> DataFrame:
     """[src, dst, co_count] for src < dst bought by the same visitor; repeats multiply.
 
-    Repeats are folded to one row per (visitor, item), which is written once: it is measured for large
-    baskets and read by both sides of the join. A basket of very many items is cut into slices that
-    meet pairwise under separate keys, so no task holds more than slice x slice pairs and every pair is
-    still met exactly once; a basket of one slice is the plain case of the same plan.
+    Repeats are folded to one row per (visitor, item), which is written once: it is measured for large baskets.
+    The items of a basket are gathered in one sorted list by one shuffle and each meets those after it. A basket
+    of very many items is cut into lists that also meet pairwise under separate keys, so no task holds more than
+    slice x slice pairs of a key and every pair is still met exactly once.
     """
-    folded = transactions.groupBy("visitor_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
-    bought = written(folded, "baskets")
-    sliced = tag_slices(bought, "visitor_id", hot_keys(bought, "visitor_id", basket_slice))
-    own = slice_of("item_id")
-    left = sliced.select(
-        "visitor_id", own.alias("a"), every_slice().alias("b"), F.col("item_id").alias("src"), F.col("n").alias("n_src")
+    folded = transactions.where("visitor_id IS NOT NULL AND item_id IS NOT NULL")
+    bought = written(folded.groupBy("visitor_id", "item_id").agg(F.count(F.lit(1)).alias("n")), "baskets")
+    hot = hot_keys(bought, "visitor_id", basket_slice)
+    sliced = tag_slices(bought, "visitor_id", hot)
+    lists = sliced.groupBy("visitor_id", slice_of("item_id").alias("own"), "slices").agg(
+        F.sort_array(F.collect_list(F.struct("item_id", "n"))).alias("items")
     )
-    right = sliced.select(
-        "visitor_id", every_slice().alias("a"), own.alias("b"), F.col("item_id").alias("dst"), F.col("n").alias("n_dst")
+    met = (
+        lists.where(F.size("items") > 1)
+        .select("items", F.posexplode("items").alias("at", "one"))
+        .select("one", F.explode(F.expr("slice(items, at + 2, size(items))")).alias("other"))
+    )
+    if not hot.isEmpty():
+        met = met.unionAll(_met_across(lists.where("slices > 1")))
+    paired = met.select(
+        F.col("one.item_id").alias("src"), F.col("other.item_id").alias("dst"), (F.col("one.n") * F.col("other.n")).alias("n")
+    )
+    return paired.groupBy("src", "dst").agg(F.sum("n").alias("co_count"))
+
+
+def _met_across(lists: DataFrame) -> DataFrame:
+    """[one, other] of items of one basket that lie in different lists of it, the smaller item first."""
+    lists = written(lists, "lists")
+    low = lists.select("visitor_id", F.col("own").alias("a"), every_slice().alias("b"), F.col("items").alias("ones"))
+    high = lists.select("visitor_id", every_slice().alias("a"), F.col("own").alias("b"), F.col("items").alias("others"))
+    pairs = low.where("a != b").join(high.where("a != b"), ["visitor_id", "a", "b"])
+    return (
+        pairs.select("others", F.explode("ones").alias("one"))
+        .select("one", F.explode("others").alias("other"))
+        .where("one.item_id < other.item_id")
     )
-    met = left.join(right, ["visitor_id", "a", "b"]).where("src < dst")
-    return met.groupBy("src", "dst").agg(F.sum(F.col("n_src") * F.col("n_dst")).alias("co_count"))
 
 
 def co_purchase(transactions: DataFrame, basket_slice: int = BASKET_SLICE) -> DataFrame:

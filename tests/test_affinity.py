@@ -10,6 +10,7 @@ from collections import Counter
 import pytest
 
 from retailflow.operators import affinity
+from retailflow.sources.tables import Tables
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +38,16 @@ def test_pairs_are_joined_once(spark, baskets):
     assert edges.agg({"elasticity_weight": "max"}).first()[0] == 1.0
 
 
+def test_orders_are_not_broadcast(spark, tmp_path):
+    """However small their file is, the orders reach their lines by shuffle, not by way of the driver."""
+    spark.createDataFrame([(1, 7), (2, 8), (3, 7)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(1, 4), (1, 5), (2, 4), (3, 9), (9, 9)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    baskets = Tables(spark, str(tmp_path)).customer_baskets()
+    assert "Broadcast" not in baskets._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in baskets.collect()) == [(7, 5), (7, 6), (7, 10), (8, 5)]
+
+
 @pytest.mark.parametrize("slice_size", [100_000, 2])
 def test_page_rank_and_communities(spark, slice_size):
     pairs = [(10, 20), (10, 30), (20, 30), (40, 50)]
