@@ -85,6 +85,21 @@ def test_campaign_windows_of_a_table(spark, bin_seconds):
     assert events.with_campaigns(rows, table.limit(0), F.col("t")).where("multiplier = 1").count() == len(times)
 
 
+def test_overlapping_windows_are_resolved_once(spark):
+    """A bin has no more stretches than ends of windows, however many windows overlap; one holds each moment."""
+    start = dt.datetime(2024, 1, 1)
+    windows = [(k, start + dt.timedelta(minutes=k % 7), start + dt.timedelta(minutes=30 + k % 11), float(k)) for k in range(500)]
+    table = spark.createDataFrame(windows, "ordinal long, start timestamp, end timestamp, multiplier double")
+    found = events.first_windows(table, 3_600_000_000).orderBy("since").collect()
+    assert len(found) <= 7 + 11
+    assert all(a["until"] <= b["since"] for a, b in zip(found, found[1:]))
+    rows = [(start + dt.timedelta(seconds=20 * k),) for k in range(150)]
+    out = events.with_campaigns(spark.createDataFrame(rows, "t timestamp"), table, F.col("t")).collect()
+    assert len(out) == 150
+    for r in out:
+        assert r["multiplier"] == next((m for _, a, b, m in windows if a <= r["t"] <= b), 1.0)
+
+
 def silver(spark, days):
     rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(days=d, seconds=k), k, "transaction", 10, 1.0) for d, n in days for k in range(n)]
     return spark.createDataFrame(rows, "event_time timestamp, visitor_id long, event string, item_id long, price double")
