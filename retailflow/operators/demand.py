@@ -13,6 +13,7 @@ from pyspark.storagelevel import StorageLevel
 from retailflow.config import IN_STOCK_LEVEL
 from retailflow.functions.numeric import as_long
 from retailflow.schemas import PROPERTY_AVAILABLE, PROPERTY_PRICE
+from retailflow.session import written
 
 # Model inputs and search grid.
 MODEL_INPUTS = ["velocity_7d", "velocity_30d", "dow"]
@@ -20,6 +21,8 @@ TREE_DEPTHS = [3, 5]
 BOOSTING_ROUNDS = [10, 20]
 FOLDS = 2
 SEED = 42
+#: Item days that one task sorts; some tens of megabytes.
+DAYS_A_PART = 500_000
 
 
 def daily_sales(events: DataFrame) -> DataFrame:
@@ -31,11 +34,16 @@ def daily_sales(events: DataFrame) -> DataFrame:
     )
 
 
+def window_parts(days: DataFrame) -> int:
+    """Parts of ``DAYS_A_PART`` rows; the rows are counted from the file."""
+    return max(1, -(-days.count() // DAYS_A_PART))
+
+
 def rolling_features(events: DataFrame) -> DataFrame:
     """Trailing means over the last 7 and 30 active days, calendar fields and the next day's count.
 
     One window order serves all three; an item has at most one row per day, so no partition grows
-    with the event count.
+    with the event count. The days are dealt into ``window_parts`` by item, a number that grows with the table.
     """
     per_item = Window.partitionBy("item_id").orderBy("ds")
 
@@ -43,7 +51,8 @@ def rolling_features(events: DataFrame) -> DataFrame:
         return F.avg("daily_txn").over(per_item.rowsBetween(1 - rows, Window.currentRow))
 
     dow = F.dayofweek("ds")
-    return daily_sales(events).select(
+    days = written(daily_sales(events), "days")
+    return days.repartition(window_parts(days), "item_id").select(
         "item_id",
         "ds",
         trailing(7).alias("velocity_7d"),

@@ -119,6 +119,12 @@ def test_inventory_takes_the_latest(spark):
     assert {r["item_id"]: r["catalog_price"] for r in demand.build_catalog_price(properties).collect()} == {3: 5.0}
 
 
+def test_parts_of_the_window_grow_with_the_days(spark, monkeypatch):
+    monkeypatch.setattr(demand, "DAYS_A_PART", 10)
+    sales = silver(spark, [(d, 1) for d in range(45)])
+    assert demand.rolling_features(sales).rdd.getNumPartitions() == 5
+
+
 def test_forecast_scores_the_newest_day(spark, tmp_path):
     rows = [(i, float(i), float(i), 1 + i % 7, float(i)) for i in range(1, 9)] + [(99, 3.0, 3.0, 2, None)]
     features = spark.createDataFrame(rows, "item_id long, velocity_7d double, velocity_30d double, dow int, label double")
