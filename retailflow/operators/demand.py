@@ -117,6 +117,18 @@ def score_forecast(model, newest: DataFrame) -> DataFrame:
     return scored.select("item_id", F.greatest("prediction", F.lit(0.0)).alias("forecast_demand"))
 
 
+def weighted_rows(known: DataFrame) -> DataFrame:
+    """[*MODEL_INPUTS, label, fold, n]: rows of equal values and fold once, with their number as weight.
+
+    Every row draws its fold for itself, as the cross validator would; the search reads the rows some hundred
+    times, so equal ones are folded before it.
+    """
+    filled = known.select(*MODEL_INPUTS, "label").na.fill(0.0, MODEL_INPUTS[:2]).na.fill(0, MODEL_INPUTS[2:])
+    drawn = filled.withColumn("fold", F.floor(F.rand(SEED) * FOLDS).cast("int"))
+    counted = drawn.groupBy(*MODEL_INPUTS, "label", "fold").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return written(counted, "weighted")
+
+
 def train_forecast(features: DataFrame, model_path: str | None = None, parallelism: int = 4):
     """(model, forecasts, report): boosted trees chosen by two-fold RMSE, forecasts clamped at 0.
 
@@ -124,13 +136,14 @@ def train_forecast(features: DataFrame, model_path: str | None = None, paralleli
     """
     spark = features.sparkSession
     known, newest = forecast_split(features)
-    train = model_inputs(known).select("inputs", "label").persist(StorageLevel.MEMORY_AND_DISK)
-    regressor = GBTRegressor(featuresCol="inputs", labelCol="label", seed=SEED)
+    train = model_inputs(weighted_rows(known)).select("inputs", "label", "fold", "n").persist(StorageLevel.MEMORY_AND_DISK)
+    regressor = GBTRegressor(featuresCol="inputs", labelCol="label", weightCol="n", seed=SEED)
     search = CrossValidator(
         estimator=regressor,
         estimatorParamMaps=_grid(regressor),
-        evaluator=RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="rmse"),
+        evaluator=RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="rmse", weightCol="n"),
         numFolds=FOLDS,
+        foldCol="fold",
         seed=SEED,
         parallelism=parallelism,
     )

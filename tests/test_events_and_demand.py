@@ -125,6 +125,14 @@ def test_parts_of_the_window_grow_with_the_days(spark, monkeypatch):
     assert demand.rolling_features(sales).rdd.getNumPartitions() == 5
 
 
+def test_equal_rows_are_learned_once(spark):
+    """Few weighted rows stand for many equal ones, and every row counts once."""
+    rows = [(1.0 + i % 2, 2.0, 1 + i % 3, float(i % 2)) for i in range(600)]
+    out = demand.weighted_rows(spark.createDataFrame(rows, "velocity_7d double, velocity_30d double, dow int, label double")).collect()
+    assert len(out) <= 6 * demand.FOLDS and sum(r["n"] for r in out) == 600
+    assert {r["fold"] for r in out} == set(range(demand.FOLDS))
+
+
 def test_forecast_scores_the_newest_day(spark, tmp_path):
     rows = [(i, float(i), float(i), 1 + i % 7, float(i)) for i in range(1, 9)] + [(99, 3.0, 3.0, 2, None)]
     features = spark.createDataFrame(rows, "item_id long, velocity_7d double, velocity_30d double, dow int, label double")
