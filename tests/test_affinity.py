@@ -65,6 +65,17 @@ def test_page_rank_and_communities(spark, slice_size):
     assert {r["id"]: r["label"] for r in affinity.communities(edges, slice_size=slice_size).collect()} == labels
 
 
+def test_links_are_dealt_once(spark, monkeypatch):
+    """The links stand in buckets of their join keys, as many as they need, so a round does not shuffle them."""
+    monkeypatch.setattr(affinity, "LINKS_A_BUCKET", 30)
+    edges = spark.createDataFrame([(k, k + 7, 1.0) for k in range(150)], "item_id long, related_item_id long, elasticity_weight double")
+    links, _ = affinity.sliced_links(edges)
+    keys = links.select("src", "slice").distinct()
+    plan = links.join(keys.hint("merge"), ["src", "slice"])._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "SelectedBucketsCount: 10 out of 10" in plan
+    assert links.count() == 300
+
+
 def test_lists_are_cut_by_related_id(spark):
     graph = spark.createDataFrame([(1, 5, 0.5), (1, 25, 0.25), (1, 3, 1.0), (2, 7, 0.1)], "item_id long, related_item_id long, elasticity_weight double")
     out = {(r["item_id"], r["list_part"]): [x["related"] for x in json.loads(r["elasticity"])] for r in affinity.elasticity_lists(graph, 10).collect()}
