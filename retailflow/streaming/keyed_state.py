@@ -1,4 +1,4 @@
-"""Per-item state of the pricing stream: feature history and current price."""
+"""State of the pricing stream: feature history and current price of an item, serving values of a part of the items."""
 
 from __future__ import annotations
 
@@ -56,13 +56,105 @@ WINDOW_NUMBERS = ("velocity", "view_count", "addtocart_count", "last_price")
 LOOKED_UP = ("stored_price", "forecast_demand", "max_elasticity", "stock")
 _SERVED = T.StructType([T.StructField("number", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in LOOKED_UP]])
 
+#: Parts that the items are dealt into, each with the serving values of its items in one state value. Fixed for
+#: a running job: the part is the key of the state.
+ITEM_PARTS = 1_024
+_SERVED_PART = T.StructType(
+    [
+        T.StructField("item", T.ArrayType(T.LongType())),
+        T.StructField("number", T.ArrayType(T.LongType())),
+        *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in LOOKED_UP],
+    ]
+)
+#: Windows with what the serving values say about them; ``named`` is false where the item is null.
+LOOKED_UP_WINDOW = T.StructType(
+    [
+        T.StructField("item", T.LongType()),
+        T.StructField("named", T.BooleanType()),
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        *[T.StructField(c, T.LongType()) for c in ("velocity", "view_count", "addtocart_count")],
+        *[T.StructField(c, T.DoubleType()) for c in ("last_price", "stored_price", "baseline")],
+        T.StructField("can_surge", T.BooleanType()),
+        *[T.StructField(c, T.DoubleType()) for c in ("surge_uplift", "stock")],
+    ]
+)
+
+
+def priced_values(velocity: np.ndarray, served: dict[str, np.ndarray], cfg: SpeedConfig) -> dict[str, np.ndarray]:
+    """What serving values, NaN where absent, say about windows: price, baseline, surge, uplift, stock."""
+    known = lambda c: np.where(np.isnan(served[c]), 0.0, served[c])
+    baseline = known("forecast_demand")
+    can, lift = surge_uplift(velocity, baseline, known("max_elasticity"), cfg)
+    return {
+        "stored_price": served["stored_price"], "baseline": baseline, "can_surge": can, "surge_uplift": lift,
+        "stock": served["stock"],
+    }
+
+
+class ServedValues(StatefulProcessor):
+    """Keeps the serving values of a part of the items and looks up those of its closed windows.
+
+    The input are windows and rows of published serving versions (those with a ``number`` and no window). Windows
+    get the values of the newest version that a batch before has read. Versions are merged item by item: an
+    item that a newer one does not hold keeps its values. All items of a part are handled at once, so a version
+    costs a few calls a part, however many items it has; in exchange a part with windows is read whole.
+    """
+
+    def __init__(self, cfg: SpeedConfig):
+        self.cfg = cfg
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.served = handle.getValueState("served", _SERVED_PART)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        kept = self._kept()
+        fresh = [kept]
+        for frame in rows:
+            published = frame["number"].notna().to_numpy()
+            if published.any():
+                fresh.append(self._numbers(frame[published]))
+            if not published.all():
+                yield self._looked_up(frame[~published], kept)
+        if len(fresh) > 1:
+            joined = {c: np.concatenate([f[c] for f in fresh]) for c in kept}
+            order = np.lexsort((-joined["number"], joined["item"]))  # of equal numbers the one that came first
+            newest = order[np.diff(joined["item"][order], prepend=joined["item"][order[0]] - 1) != 0]
+            self.served.update(tuple(joined[c][newest].tolist() for c in kept))
+
+    def _kept(self) -> dict[str, np.ndarray]:
+        """The values in the state, by ascending item."""
+        values = self.served.get() if self.served.exists() else ((),) * len(_SERVED_PART.names)
+        kinds = ("int64", "int64", *["float64"] * len(LOOKED_UP))
+        return {c: np.asarray(v, dtype=k) for c, v, k in zip(_SERVED_PART.names, values, kinds, strict=True)}
+
+    @staticmethod
+    def _numbers(frame: pd.DataFrame) -> dict[str, np.ndarray]:
+        whole = {c: frame[c].to_numpy(dtype="int64") for c in ("item", "number")}
+        return whole | {c: frame[c].to_numpy(dtype="float64", na_value=np.nan) for c in LOOKED_UP}
+
+    def _looked_up(self, windows: pd.DataFrame, kept: dict[str, np.ndarray]) -> pd.DataFrame:
+        item, velocity = windows["item"].to_numpy(dtype="int64"), windows["velocity"].to_numpy(dtype="float64")
+        at = np.searchsorted(kept["item"], item)
+        found = windows["named"].to_numpy(dtype=bool) & (at < len(kept["item"]))
+        found[found] = kept["item"][at[found]] == item[found]
+        served = {c: np.full(len(item), np.nan) for c in LOOKED_UP}
+        for c in LOOKED_UP:
+            served[c][found] = kept[c][at[found]]
+        counts = {c: windows[c].to_numpy(dtype="int64") for c in ("velocity", "view_count", "addtocart_count")}
+        return windows.assign(**counts, **priced_values(velocity, served, self.cfg))[LOOKED_UP_WINDOW.names]
+
+    def close(self) -> None:
+        pass
+
 
 class ItemPricing(StatefulProcessor):
     """Walks the closed windows of one item in time order.
 
     With ``keeps_serving`` the input also has rows of published serving versions (those with a ``number`` and
     no window). The newest version that a batch before has read is the one that windows are priced with, so
-    a version takes effect with the batch after it appears, and the job need not start again.
+    a version takes effect with the batch after it appears, and the job need not start again. A call for every
+    item of a version costs milliseconds each, so the job looks the values up by ``ServedValues`` instead.
 
     A backlog of any length is held as a few numbers a window and handled in pieces of ``SCORED_AT_ONCE``,
     each of which carries history and price on to the next.
@@ -113,11 +205,8 @@ class ItemPricing(StatefulProcessor):
     def _looked_up(self, windows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         """What the serving values in the state say about each window."""
         values = self.served.get()[1:] if self.served.exists() else (None,) * len(LOOKED_UP)
-        stored, daily, elasticity, stock = (np.nan if v is None else v for v in values)
-        baseline = np.full(len(windows["velocity"]), 0.0 if np.isnan(daily) else daily)
-        can, lift = surge_uplift(windows["velocity"], baseline, 0.0 if np.isnan(elasticity) else elasticity, self.cfg)
-        same = lambda v: np.full(len(baseline), v)
-        return {"stored_price": same(stored), "baseline": baseline, "can_surge": can, "surge_uplift": lift, "stock": same(stock)}
+        same = lambda v: np.full(len(windows["velocity"]), np.nan if v is None else v)
+        return priced_values(windows["velocity"], dict(zip(LOOKED_UP, map(same, values), strict=True)), self.cfg)
 
     def _priced(self, item: int, windows: dict[str, np.ndarray]) -> Iterator[pd.DataFrame]:
         """Decisions of all windows, in time order; history and price are kept for the next batch."""

@@ -2,8 +2,8 @@
 
 The serving table comes in one of two forms. As a table it is read when the job starts, and a new version
 is seen when the job is started again from its checkpoint. As the stream of published versions
-(``published_serving``) its values are kept in the state of each item, so a running job prices with the
-newest version from the batch after it is published.
+(``published_serving``) its values are kept in the state, by parts of the items, so a running job prices with
+the newest version from the batch after it is published.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from retailflow.schemas import ALERT, EVENT_TYPES, ORDER, PRICE_UPDATE, SERVING,
 from retailflow.session import prepare
 from retailflow.sources.wire import decode_records
 from retailflow.streaming.commits import CommitLog
-from retailflow.streaming.keyed_state import DECISION, ItemPricing
+from retailflow.streaming.keyed_state import DECISION, ITEM_PARTS, LOOKED_UP_WINDOW, ItemPricing, ServedValues
 from retailflow.streaming.metrics import counted
 
 
@@ -87,13 +87,13 @@ def priced_stream(
         timely = timely.dropDuplicatesWithinWatermark(SILVER_KEY)
     counts = windowed_velocity(timely, cfg.window_seconds)
     if serving.isStreaming:
-        windows = counts.unionByName(serving.where("item_id IS NOT NULL"), allowMissingColumns=True)
+        windows = with_published(counts, serving, cfg)
     else:
         # All but the classifier's part of the surge test is known before the state is.
         certain = with_surge(with_lookups(counts, serving), F.lit(1.0), cfg.window_seconds, cfg.pricing)
         windows = certain.withColumnsRenamed({"is_surge": "can_surge", "uplift": "surge_uplift"})
     decided = windows.groupBy("item_id").transformWithStateInPandas(
-        statefulProcessor=ItemPricing(weights, cfg, serving.isStreaming),
+        statefulProcessor=ItemPricing(weights, cfg),
         outputStructType=DECISION,
         outputMode="Append",
         timeMode="EventTime",
@@ -106,6 +106,25 @@ def priced_stream(
     return counted(present_decisions(decided, cfg.display), "pricing", rules)
 
 
+def with_published(windows: DataFrame, serving: DataFrame, cfg: SpeedConfig = SpeedConfig()) -> DataFrame:
+    """Closed windows with what the newest version known before their batch says about them.
+
+    The values are kept in the state of ``ITEM_PARTS`` parts of the items. Items travel without nulls, which would
+    turn the ids of a whole Arrow batch into doubles.
+    """
+    rows = windows.unionByName(serving.where("item_id IS NOT NULL"), allowMissingColumns=True)
+    parted = rows.select(
+        F.pmod(F.xxhash64("item_id"), F.lit(ITEM_PARTS)).alias("part"),
+        F.coalesce("item_id", F.lit(0).cast("long")).alias("item"),
+        F.col("item_id").isNotNull().alias("named"),
+        *[c for c in rows.columns if c != "item_id"],
+    )
+    looked_up = parted.groupBy("part").transformWithStateInPandas(
+        statefulProcessor=ServedValues(cfg), outputStructType=LOOKED_UP_WINDOW, outputMode="Append", timeMode="None"
+    )
+    return looked_up.select(F.when(F.col("named"), F.col("item")).alias("item_id"), *LOOKED_UP_WINDOW.names[2:])
+
+
 def published_serving(spark: SparkSession, changes: str) -> DataFrame:
     """Stream of the rows of published serving versions, as the state takes them, from the folder that lists them."""
     rows = spark.readStream.schema(T.StructType([*SERVING.fields, T.StructField("number", T.LongType())])).parquet(changes)

@@ -20,7 +20,7 @@ from retailflow.operators import decisions
 from retailflow.operators.decisions import replay_prices
 from retailflow.operators.velocity import feature_history
 from retailflow.plans.catalogue import fixed_weights
-from retailflow.streaming.keyed_state import LOOKED_UP, ItemPricing, history_rows
+from retailflow.streaming.keyed_state import LOOKED_UP, ItemPricing, ServedValues, history_rows
 
 
 def value(spark, column):
@@ -249,3 +249,26 @@ def test_versions_take_effect_with_the_next_batch():
     two = batch(table[10:20].assign(number=None), serving((2, 1.0, 1.0, 1.0, 1.0)))
     assert set(two["baseline"]) == {7.0} and two["base_price"].iloc[0] == one["base_price"].iloc[-1] and two["stock"].isna().all()
     assert set(batch(table[20:].assign(number=None))["baseline"]) == {7.0}
+
+
+def test_parts_look_up_what_each_item_keeps_for_itself():
+    """Versions in any order and with gaps: a part of many items prices windows as states of single items do."""
+    r, cfg, items = np.random.default_rng(5), SpeedConfig(), range(12)
+    part, whole, single = (ServedValues(cfg), *[{k: make() for k in items} for make in (lambda: ItemPricing(None, cfg), lambda: ItemPricing(None, cfg, True))])
+    for processor in (part, *whole.values(), *single.values()):
+        processor.init(Kept())
+    columns = ["window_start", "window_end", "velocity", "view_count", "addtocart_count", "last_price"]
+    tables = {k: windows_of(30, r)[columns].assign(item=k, number=None) for k in items}
+    versions = pd.DataFrame([(k, n, *np.where(r.random(4) < 0.2, None, r.uniform(0, 9_000, 4))) for n in (2, 1, 4, 3, 4) for k in items if r.random() < 0.7], columns=["item", "number", *LOOKED_UP])
+    versions["stock"] = versions["stock"].astype("float64") // 1
+    versions = versions.drop_duplicates(["item", "number"])
+    order = {k: n for n, k in enumerate((2, 1, 4, 3))}
+    for step in range(5):
+        rows = pd.concat([t[step * 6 : step * 6 + 6] for t in tables.values()] + [versions[versions["number"].map(order) == step]])
+        rows = rows.assign(named=True)
+        frames = [rows[0::2], rows[1::2]]
+        looked_up = list(part.handleInputRows((0,), iter(frames), None))
+        for k in items:
+            got = pd.concat(whole[k].handleInputRows((k,), iter([f[f["item"] == k] for f in looked_up]), None))
+            want = pd.concat(single[k].handleInputRows((k,), iter([f[f["item"] == k] for f in frames]), None))
+            pd.testing.assert_frame_equal(got.reset_index(drop=True), want.reset_index(drop=True))

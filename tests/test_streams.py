@@ -16,7 +16,7 @@ from retailflow.plans import nightly
 from retailflow.plans.catalogue import fixed_weights
 from retailflow.schemas import ORDER, PRICE_UPDATE, SERVING, TRAFFIC_RECORD
 from retailflow.sources import wire
-from retailflow.streaming import commits, feeds, metrics, pricing_job
+from retailflow.streaming import commits, feeds, keyed_state, metrics, pricing_job
 
 CFG = SpeedConfig()
 
@@ -196,6 +196,37 @@ def test_stream_equals_batch_and_restarts(spark, serving_rows, tmp_path):
     assert now == last
 
 
+def test_a_version_costs_calls_for_parts_not_for_items(spark, tmp_path):
+    """A running job keeps two versions of very many items in one state value a part, and prices windows with the newest."""
+    lake, source, root = Lake(str(tmp_path / "lake")), str(tmp_path / "wire"), str(tmp_path / "out")
+    far, start = 2**53 + 1, 1_700_000_000_000 // 60_000 * 60_000
+    some = spark.createDataFrame([(far, 3.0, 30.0), (far - 1, 9.0, 90.0), (None, 8.0, 80.0)], "item_id long, forecast_demand double, price double")
+    many = spark.range(5_000).selectExpr("id AS item_id", "2D AS forecast_demand", "20D AS price").unionByName(some)
+    newer = spark.createDataFrame([(7, 4.0, 40.0), (0, None, 10.0)], some.schema)
+    wide = lambda rows: rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in SERVING.fields])
+    at = lambda minute, *items: [(start + minute * 60_000, 1, "transaction", item, None) for item in items]
+    sent = (0, 7, far, 123_456, None)
+    nightly.publish_version(wide(many), lake)
+    records(spark, at(0, *sent) + at(10, 7)).write.mode("append").parquet(source)
+    live = pricing_job.accepted_events(wire.stream_wire(spark, source))
+    versions = pricing_job.published_serving(spark, lake.serving("changes"))
+    running = pricing_job.start_pricing(live, versions, root, None, CFG, every="1 second")
+    try:
+        running.processAllAvailable()
+        nightly.publish_version(wide(newer), lake)
+        records(spark, at(20, *sent) + at(40, 7)).write.mode("append").parquet(source)
+        running.processAllAvailable()
+        kept = [[o["numRowsTotal"] for o in p["stateOperators"]] for p in running.recentProgress if p["stateOperators"]]
+    finally:
+        running.stop()
+    found = {(int(w.timestamp() * 1000 - start) // 60_000, i): b for w, i, b in commits.CommitLog(spark, root).read("decisions", keyed_state.DECISION).select("window_start", "item_id", "baseline").collect()}
+    assert found == {
+        (0, 0): 2.0, (0, 7): 2.0, (0, far): 3.0, (0, 123_456): 0.0, (0, None): 0.0, (10, 7): 4.0,
+        (20, 0): 0.0, (20, 7): 4.0, (20, far): 3.0, (20, 123_456): 0.0, (20, None): 0.0,
+    }
+    assert 0 < max(map(max, kept)) <= keyed_state.ITEM_PARTS
+
+
 def test_a_sure_classifier_raises_prices(spark, serving_rows):
     windows = velocity.windowed_velocity(spark.createDataFrame(burst(0, 50), TRAFFIC_RECORD), 60)
     row = decisions.decide_prices(windows, serving_rows, F.lit(0.9), 60).first()
