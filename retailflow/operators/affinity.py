@@ -2,71 +2,159 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailflow.operators.skew import every_slice, hot_keys, slice_of, tag_slices
-from retailflow.session import bucketed, cut_lineage, written
+from retailflow.session import bucketed, cut_lineage, dropped, written
 
 # Graph parameters.
 RESET_PROBABILITY = 0.15
 ROUNDS = 5
 
 BASKET_SLICE = 2_000  # distinct items of one basket that meet in one join key
+ITEM_SLICE = 50_000  # baskets of one item whose pairs are counted in one place
+PAIRS_A_PART = 1_000_000  # pairs that one task counts
+MOST_HELD = 8_000_000  # pairs that a task holds before it folds equal ones
+ROWS_OUT = 50_000  # pairs that a task hands on at once
 VERTEX_SLICE = 100_000  # edges of one vertex that meet in one join key
 LINKS_A_BUCKET = 500_000  # links that one task of a round holds
 CUT_EVERY = 3  # rounds after which labels are written, so that a lost executor does not repeat all
 LIST_PART = 10_000  # related ids that one list row covers
 
 
-def pair_counts(transactions: DataFrame, basket_slice: int = BASKET_SLICE) -> DataFrame:
+def pair_counts(transactions: DataFrame, basket_slice: int = BASKET_SLICE, item_slice: int = ITEM_SLICE) -> DataFrame:
     """[src, dst, co_count] for src < dst bought by the same visitor; repeats multiply.
 
-    Repeats are folded to one row per (visitor, item), which is written once: it is measured for large baskets.
-    The items of a basket are gathered in one sorted list by one shuffle and each meets those after it. A basket
-    of very many items is cut into lists that also meet pairwise under separate keys, so no task holds more than
-    slice x slice pairs of a key and every pair is still met exactly once.
+    Repeats are folded to one row per (visitor, item). The items of a basket are gathered in one sorted list by one
+    shuffle, and the lists are written once. Each item is then sent, as one row, with the items after it as packed bytes, a
+    few a pair, to the place where the pairs of this item are counted; pairs are rows only from there on. A basket
+    of very many items is cut into lists that also meet pairwise under separate keys, and the rows of an item in very
+    many baskets are spread over several places, so no task grows with either.
     """
     folded = transactions.where("visitor_id IS NOT NULL AND item_id IS NOT NULL")
     bought = written(folded.groupBy("visitor_id", "item_id").agg(F.count(F.lit(1)).alias("n")), "baskets")
+    sizes = bought.groupBy("visitor_id").agg(F.count(F.lit(1)).cast("double").alias("m"))
+    n_pairs = sizes.agg(F.coalesce(F.sum(F.expr("m * (m - 1) / 2")), F.lit(0.0))).first()[0]
+    parts = max(1, -(-int(n_pairs) // PAIRS_A_PART))
+    least, most, n_most = bought.agg(F.min("item_id"), F.max("item_id"), F.max("n")).first()
+    code = ItemCode(least or 0, _bytes_of((most or 0) - (least or 0)), _bytes_of(n_most) if (n_most or 1) > 1 else 0)
     hot = hot_keys(bought, "visitor_id", basket_slice)
-    sliced = tag_slices(bought, "visitor_id", hot)
-    lists = sliced.groupBy("visitor_id", slice_of("item_id").alias("own"), "slices").agg(
-        F.sort_array(F.collect_list(F.struct("item_id", "n"))).alias("items")
+    hot_items = hot_keys(bought, "item_id", item_slice)
+    spread = tag_slices(bought, "item_id", hot_items).withColumnRenamed("slices", "spread")
+    sliced = tag_slices(spread, "visitor_id", hot)
+    gathered = sliced.groupBy("visitor_id", slice_of("item_id").alias("own"), "slices").agg(
+        F.sort_array(F.collect_list(F.struct("item_id", "n", "spread"))).alias("items")
     )
+    lists = written(gathered.select("*", *code.packed("items")), "lists")
     met = (
         lists.where(F.size("items") > 1)
-        .select("items", F.posexplode("items").alias("at", "one"))
-        .select("one", F.explode(F.expr("slice(items, at + 2, size(items))")).alias("other"))
+        .select("visitor_id", "others", "numbers", F.posexplode("items").alias("at", "one"))
+        .select("visitor_id", "one", *[F.expr(f"substring({c}, (at + 1) * {w} + 1)").alias(c) for c, w in code.widths()])
+        .where(F.length("others") > 0)
     )
     if not hot.isEmpty():
         met = met.unionAll(_met_across(lists.where("slices > 1")))
-    paired = met.select(
-        F.col("one.item_id").alias("src"), F.col("other.item_id").alias("dst"), (F.col("one.n") * F.col("other.n")).alias("n")
-    )
-    return paired.groupBy("src", "dst").agg(F.sum("n").alias("co_count"))
+    place = F.pmod(F.hash("visitor_id"), F.col("one.spread")).alias("place")
+    rows = met.select(F.col("one.item_id").alias("src"), F.col("one.n").alias("n"), "others", "numbers", place, F.col("one.spread").alias("spread"))
+    dropped(bought)
+    counted = lambda some: _counted(some.drop("spread").repartition(parts, "src", "place"), code)
+    if hot_items.isEmpty():
+        return counted(rows)
+    apart = counted(rows.where("spread > 1")).groupBy("src", "dst").agg(F.sum("co_count").alias("co_count"))
+    return counted(rows.where("spread = 1")).unionAll(apart)
+
+
+def _bytes_of(number: int) -> int:
+    return max(1, -(-int(number).bit_length() // 8))
+
+
+class ItemCode(NamedTuple):
+    """Lists of items and of their numbers as bytes: every item less the least in ``width`` bytes, numbers in ``number_width``."""
+
+    least: int
+    width: int
+    number_width: int  # 0 where all numbers are 1
+
+    def widths(self) -> tuple[tuple[str, int], tuple[str, int]]:
+        return ("others", self.width), ("numbers", self.number_width)
+
+    def packed(self, items: str) -> list[Column]:
+        """[others, numbers] of an array of (item_id, n)."""
+
+        def bytes_of(value, width: int) -> Column:
+            if not width:
+                return F.unhex(F.lit(""))
+            digits = F.transform(items, lambda x: F.lpad(F.hex(value(x)), 2 * width, "0"))
+            return F.unhex(F.array_join(digits, ""))
+
+        less = lambda x: x["item_id"] - F.lit(self.least)
+        return [bytes_of(less, self.width).alias("others"), bytes_of(lambda x: x["n"], self.number_width).alias("numbers")]
+
+    def unpacked(self, column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(all numbers, how many each row has)."""
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        raw = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.empty(0, np.uint8)
+        out = np.zeros(len(raw) // width, np.int64)
+        for k in range(width):
+            out = out << 8 | raw[k::width]
+        return out, np.diff(ends) // width
+
+
+def _counted(rows: DataFrame, code: ItemCode) -> DataFrame:
+    """[src, dst, co_count] of rows [src, n, others, numbers] that lie together by src; items that are not after src do not count."""
+
+    def folded(held: list[tuple]) -> tuple:
+        src, dst, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((dst, src))
+        src, dst, n = src[order], dst[order], n[order]
+        first = np.flatnonzero(np.append(True, (src[1:] != src[:-1]) | (dst[1:] != dst[:-1]))) if len(src) else np.empty(0, np.int64)
+        return src[first], dst[first], np.add.reduceat(n, first) if len(first) else n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            src, n = (batch.column(k).to_numpy() for k in (0, 1))
+            dst, many = code.unpacked(batch.column(2), code.width)
+            src, n, dst = np.repeat(src, many), np.repeat(n, many), dst + code.least
+            if code.number_width:
+                n = n * code.unpacked(batch.column(3), code.number_width)[0]
+            after = dst > src
+            held.append((src, dst, n) if after.all() else (src[after], dst[after], n[after]))
+            size += len(held[-1][0])
+            if size > MOST_HELD and len(held) > 1:
+                held = [folded(held)]
+                size = len(held[0][0]) // 2  # what is folded already may take as much again
+        if held:
+            src, dst, n = folded(held)
+            for at in range(0, len(src), ROWS_OUT):
+                part = slice(at, at + ROWS_OUT)
+                yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (src, dst, n)], ["src", "dst", "co_count"])
+
+    return rows.select("src", "n", "others", "numbers").mapInArrow(run, "src long, dst long, co_count long")
 
 
 def _met_across(lists: DataFrame) -> DataFrame:
-    """[one, other] of items of one basket that lie in different lists of it, the smaller item first."""
-    lists = written(lists, "lists")
-    low = lists.select("visitor_id", F.col("own").alias("a"), every_slice().alias("b"), F.col("items").alias("ones"))
-    high = lists.select("visitor_id", every_slice().alias("a"), F.col("own").alias("b"), F.col("items").alias("others"))
-    pairs = low.where("a != b").join(high.where("a != b"), ["visitor_id", "a", "b"])
-    return (
-        pairs.select("others", F.explode("ones").alias("one"))
-        .select("one", F.explode("others").alias("other"))
-        .where("one.item_id < other.item_id")
-    )
+    """[visitor_id, one, others, numbers] of items of one basket with the items of its other lists."""
+    ones = lists.select("visitor_id", F.col("own").alias("a"), every_slice().alias("b"), F.explode("items").alias("one"))
+    others = lists.select("visitor_id", F.col("own").alias("b"), "others", "numbers")
+    return ones.where("a != b").join(others, ["visitor_id", "b"]).select("visitor_id", "one", "others", "numbers")
 
 
 def co_purchase(transactions: DataFrame, basket_slice: int = BASKET_SLICE) -> DataFrame:
     """[item_id, related_item_id, elasticity_weight]: pair counts over the largest pair count.
 
-    The counts are written once, so the join runs once: the largest count and the weights are both
-    taken from the table.
+    The pairs of large tables are many times the input, so they are counted for the largest count and again for the weights, from
+    the lists of the baskets, and never written.
     """
-    pairs = written(pair_counts(transactions, basket_slice), "pairs")
+    pairs = pair_counts(transactions, basket_slice)
     top = pairs.agg(F.coalesce(F.max("co_count"), F.lit(1))).first()[0]
     return pairs.selectExpr("src AS item_id", "dst AS related_item_id", f"co_count / {top}D AS elasticity_weight")
 

@@ -31,6 +31,24 @@ def test_pair_counts(spark, baskets, basket_slice):
     assert {(r["src"], r["dst"]): r["co_count"] for r in out.collect()} == want
 
 
+@pytest.mark.parametrize("item_slice", [50_000, 2])
+def test_pairs_travel_as_bytes(spark, monkeypatch, item_slice):
+    """Rows of an item and its later ones are shuffled, not pairs; negative and far items, large numbers and folded pieces count right."""
+    monkeypatch.setattr(affinity, "MOST_HELD", 5)
+    monkeypatch.setattr(affinity, "PAIRS_A_PART", 7)
+    rows = [(v, i) for v in range(6) for i in (-(1 << 40), 3, 70_000 + v % 2, 1 << 41)] + [(1, 3)] * 400 + [(None, 3), (2, None), (7, 5)]
+    frame = spark.createDataFrame(rows, "visitor_id long, item_id long")
+    pairs = affinity.pair_counts(frame, item_slice=item_slice)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "substring(others" in plan and "REPARTITION_BY_NUM" in plan
+    want = Counter()
+    for v in range(6):
+        items = Counter(i for u, i in rows if u == v and i is not None)
+        want.update({(a, b): items[a] * items[b] for a in items for b in items if a < b})
+    assert {(r["src"], r["dst"]): r["co_count"] for r in pairs.collect()} == want
+    assert affinity.co_purchase(frame.limit(0)).count() == 0
+
+
 def test_pairs_are_joined_once(spark, baskets):
     """The weights read the written counts, so no join is left in the plan."""
     edges = affinity.co_purchase(spark.createDataFrame(baskets, "visitor_id long, item_id long"))
