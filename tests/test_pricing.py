@@ -20,6 +20,7 @@ from retailflow.operators import decisions
 from retailflow.operators.decisions import replay_prices
 from retailflow.operators.velocity import feature_history
 from retailflow.plans.catalogue import fixed_weights
+from retailflow.session import prepare, written
 from retailflow.streaming.keyed_state import LOOKED_UP, ItemPricing, ServedValues, history_rows
 
 
@@ -272,3 +273,14 @@ def test_parts_look_up_what_each_item_keeps_for_itself():
             got = pd.concat(whole[k].handleInputRows((k,), iter([f[f["item"] == k] for f in looked_up]), None))
             want = pd.concat(single[k].handleInputRows((k,), iter([f[f["item"] == k] for f in frames]), None))
             pd.testing.assert_frame_equal(got.reset_index(drop=True), want.reset_index(drop=True))
+
+
+def test_large_serving_tables_are_not_broadcast(spark):
+    """A file of a few megabytes holds very many packed rows: they do not pass through the driver."""
+    prepare(spark)
+    rows = spark.range(600_000).selectExpr(
+        "id AS item_id", "pmod(id, 20000) / 100 AS price", "1D AS forecast_demand", "0.5D AS max_elasticity", "200 AS stock"
+    )
+    windows = written(spark.range(600_000).selectExpr("id AS item_id", "xxhash64(id, 1) AS x", "xxhash64(id, 2) AS y"), "many")
+    plan = decisions.with_lookups(windows, written(rows, "serving"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
