@@ -9,6 +9,7 @@ from collections import Counter
 
 import pytest
 
+from retailflow import session
 from retailflow.operators import affinity
 from retailflow.sources.tables import Tables
 
@@ -98,3 +99,23 @@ def test_lists_are_cut_by_related_id(spark):
     graph = spark.createDataFrame([(1, 5, 0.5), (1, 25, 0.25), (1, 3, 1.0), (2, 7, 0.1)], "item_id long, related_item_id long, elasticity_weight double")
     out = {(r["item_id"], r["list_part"]): [x["related"] for x in json.loads(r["elasticity"])] for r in affinity.elasticity_lists(graph, 10).collect()}
     assert out == {(1, 0): [3, 5], (1, 2): [25], (2, 0): [7]}
+
+
+@pytest.mark.parametrize("slice_size", [100_000, 3])
+def test_rounds_in_passes(spark, monkeypatch, tmp_path, slice_size):
+    """Links, ranks and labels made in several passes are those made in one, and the files of the rounds are gone."""
+    r = random.Random(4)
+    pairs = sorted({(a, b) for a, b in ((r.randrange(40), r.randrange(40)) for _ in range(150)) if a < b})
+    edges = spark.createDataFrame([(a, b, 1.0) for a, b in pairs], "item_id long, related_item_id long, elasticity_weight double")
+    read = lambda df: sorted((x[0], round(x[1], 9)) for x in df.collect())
+    want = read(affinity.page_rank(edges, slice_size=slice_size)), read(affinity.communities(edges, slice_size=slice_size))
+    monkeypatch.setattr(affinity, "LINKS_A_BUCKET", 25)
+    for module in (affinity, session):
+        monkeypatch.setattr(module, "BUCKETS_A_PASS", 4)
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    got = read(affinity.page_rank(edges, slice_size=slice_size)), read(affinity.communities(edges, slice_size=slice_size))
+    assert got == want
+    left = Counter(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir())
+    assert left["labels"] == left["ranks"] > 1 and not left["links"] and not left["vertices"]
+    links = affinity.sliced_links(edges, slice_size)[0]
+    assert sorted((x["src"], x["dst"]) for x in links.collect()) == sorted(pairs + [(b, a) for a, b in pairs])
